@@ -178,7 +178,7 @@ def quality_pipeline(agg: DataFrame) -> DataFrame:
 
 
 def quarter_year_matrix(df: DataFrame, measure: str | None = None) -> DataFrame:
-    value = F.sum(measure) if measure else F.count("*")
+    value = F.sum(measure) if measure else F.count(F.lit(1))
     return drop_null_keys(df, "year", "quarter").groupBy("year").pivot("quarter", QUARTERS).agg(value)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import interpolate, interpolated_ranks, order_statistics
-from ..functions.semantics import col, round_even, strip
+from ..functions.semantics import clamp, col, round_even, strip
 
 TOP_K = 5
 SNIPPET_CHARS = 260
@@ -143,7 +143,8 @@ def store_integrity(vectors: DataFrame, vec_id: str, embedding: str = "embedding
     """Rows, dimensions, missing vectors, and whether a probe (the first vector) finds a hit."""
     dims = F.size(embedding)
     probe = vectors.where(F.col(embedding).isNotNull()).agg(F.min_by(embedding, F.col(vec_id))).scalar()
-    nearest = vectors.agg(F.min(squared_l2(F.col(embedding), probe))).scalar()
+    probed = vectors.withColumn("_probe", probe)
+    nearest = probed.agg(F.min(squared_l2(F.col(embedding), F.col("_probe")))).scalar()
     out = vectors.agg(
         F.count("*").alias("rows"), F.count_if(F.col(embedding).isNull()).alias("missing"), F.min(dims).alias("min_dim"), F.max(dims).alias("max_dim")
     )
@@ -273,7 +274,7 @@ def judge_parse(df: DataFrame, response: str = "response") -> DataFrame:
     given = F.try_variant_get(doc, "$.score", "string")
     number = F.when(doc.isNotNull(), F.coalesce(given, F.lit("0")).try_cast("double"))
     loose = F.regexp_extract(text, r'(?i)score["\s:]+(-?\d+(?:\.\d+)?)', 1).try_cast("double")
-    limit = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(3.0), c))
+    limit = lambda c: F.when(c.isNotNull(), clamp(c, 0.0, 3.0))
     unread = F.concat(F.lit("Could not parse judge response: "), F.substring(text, 1, 200))
     return df.withColumns(
         {

@@ -268,11 +268,11 @@ def silhouette_exact(points: DataFrame, x: str = "latitude", y: str = "longitude
     weighted = points.groupBy(F.col(x).alias("x"), F.col(y).alias("y"), F.col(cluster).alias("c")).agg(F.count("*").alias("n"))
     sizes = points.groupBy(F.col(cluster).alias("cluster")).agg(F.count("*").alias("size"))
     blocks = F.greatest(F.lit(1), F.ceil(weighted.agg(F.count("*")).scalar() / BLOCK_POSITIONS))
-    placed = cut_lineage(weighted.withColumn("b", F.pmod(F.xxhash64("x", "y", "c"), blocks)).withColumn("blocks", blocks))
-    packed = placed.groupBy("b", "blocks").agg(F.collect_list(F.struct("x", "y", "c", "n")).alias("p"))
+    placed = cut_lineage(weighted.withColumn("block", F.pmod(F.xxhash64("x", "y", "c"), blocks)).withColumn("blocks", blocks))
+    packed = placed.groupBy("block", "blocks").agg(F.collect_list(F.struct("x", "y", "c", "n")).alias("p"))
     pack = lambda s: [F.col(f"p.{f}").alias(f"{s}{f}") for f in "xycn"]
     left = packed.select(*pack("a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    right = packed.select(F.col("b").alias("other"), *pack("b"))
+    right = packed.select(F.col("block").alias("other"), *pack("b"))
     types = dict(placed.dtypes)
     schema = f"x {types['x']}, y {types['y']}, own {types['c']}, cluster {types['c']}, total double"
     sums = left.join(right, "other").mapInPandas(_block_distances, schema).groupBy("x", "y", "own", "cluster").agg(

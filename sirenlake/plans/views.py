@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators.text import ENTITIES
 from .fixtures import CALL_MAP, CALL_RULES, CALL_TYPES, PRIORITIES
 
 
@@ -71,8 +72,6 @@ def filled(columns: list[str]) -> str:
 
 
 def unescaped(x: str) -> str:
-    from ..operators.text import BARE_AMP, ENTITIES  # noqa: F401
-
     for name, char in ENTITIES.items():
         quoted_char = char.replace("'", "''")
         x = f"replace({x}, '{name}', '{quoted_char}')"
@@ -209,8 +208,8 @@ VIEWS: dict[str, tuple[list[str], str]] = {
           completeness_score, longitude IS NOT NULL AS with_coords, coalesce(completeness_score, 0) >= 0.75 AS high_completeness
         FROM dispatch"""),
     "overview": (["prepared"], """
-        SELECT year, quarter, service, priority_level, call_type, count(*) AS call_count, count_if(with_coords) AS with_coords_count,
-          count_if(high_completeness) AS high_completeness_count
+        SELECT year, quarter, service, priority_level, call_type, count(*) AS call_count, count(*) FILTER (WHERE with_coords) AS with_coords_count,
+          count(*) FILTER (WHERE high_completeness) AS high_completeness_count
         FROM prepared WHERE year IS NOT NULL AND quarter IS NOT NULL AND service IS NOT NULL GROUP BY ALL"""),
     "heatmap": (["prepared"], "SELECT year, quarter, service, count(*) AS call_count FROM prepared GROUP BY ALL"),
     "slope": (["prepared"], "SELECT year, service, call_type, count(*) AS call_count FROM prepared GROUP BY ALL"),
@@ -290,8 +289,8 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT *, list_sort(list_distinct(list_filter([{source_slug('source_id')}, {source_slug('file_name')}, {source_slug('title')}, {source_slug('category')}],
           lambda i: i <> ''))) AS candidate_ids FROM retrieved"""),
     "precision": (["candidates"], """
-        SELECT e.query_id, count(rank) AS retrieved, count_if(list_has_any(expected_ids, candidate_ids)) AS relevant,
-          count_if(list_has_any(expected_ids, candidate_ids)) / 5e0 AS precision_at_k
+        SELECT e.query_id, count(rank) AS retrieved, count(*) FILTER (WHERE list_has_any(expected_ids, candidate_ids)) AS relevant,
+          count(*) FILTER (WHERE list_has_any(expected_ids, candidate_ids)) / 5e0 AS precision_at_k
         FROM (SELECT DISTINCT conv_id AS query_id, ['src' || (conv_id % 5), 'src' || ((conv_id + 1) % 5)] AS expected_ids FROM conversations) e
         LEFT JOIN (SELECT * FROM candidates WHERE rank <= 5) c USING (query_id) GROUP BY 1"""),
     "judge_raw": ([], """
@@ -333,8 +332,7 @@ def sql(body: str, *views: str) -> str:
         visit(v)
     if not order:
         return body.strip()
-    recursive = "RECURSIVE " if "/*recursive*/" in body else ""
     ctes = ",\n".join(f"{v} AS ({VIEWS[v][1].strip()})" for v in order)
     body = body.strip()
     glue = ",\n" if body.startswith("+") else "\n"
-    return f"WITH {recursive}{ctes}{glue}{body.lstrip('+').strip()}"
+    return f"WITH {ctes}{glue}{body.lstrip('+').strip()}"
