@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .session import cut_lineage
 
-HASH_BUCKETS = 4096  # three hex digits
-FINE_BINS = 4096
+BINS = 1024
 
 
 def seeded_hash(seed: int, *ids: str) -> Column:
@@ -75,69 +75,54 @@ def range_rank(
     )
 
 
-def order_statistics(values: DataFrame, column: str, ranks: Mapping[str, Column]) -> DataFrame:
-    """Exact k-th smallest values: one row with a column per entry of ``ranks``.
+def order_statistics(values: DataFrame, column: str, ranks: Mapping[str, Callable[[int], int]]) -> dict[str, float | None]:
+    """Exact k-th smallest values; a rank is a function of ``n``, the number of non-null values.
 
-    A rank is an expression over ``n`` (the number of non-null values), counted from 1. Equal
-    values are counted together first; two levels of histogram then narrow each rank down to a
-    sliver of the value range, and only that sliver is sorted.
+    Equal values are counted together first. Then histograms narrow every rank down until its bin
+    holds a single value; the next level spans just the smallest to the largest value of that bin,
+    so long tails cost a level, never a big sort. The driver sees at most BINS rows per rank.
     """
     counted = (
         values.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("v"))
         .agg(F.count("*").alias("c"))
+        .persist()
     )
-    span = counted.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
-    width = F.greatest((hi - lo) / FINE_BINS, F.lit(1e-300))
-    binned = counted.withColumn(
-        "b1", F.least(F.floor((F.col("v") - lo) / width), F.lit(FINE_BINS - 1))
-    ).withColumn(
-        "b2",
-        F.least(
-            F.floor((F.col("v") - (lo + F.col("b1") * width)) / (width / FINE_BINS)), F.lit(FINE_BINS - 1)
-        ),
-    )
-    wanted = span.select(
-        F.array(*[F.struct(F.lit(k).alias("name"), r.cast("bigint").alias("r")) for k, r in ranks.items()])
-    ).scalar()
-
-    def locate(cumulated: DataFrame) -> DataFrame:
-        """Keep the entry that holds rank ``r`` and restate ``r`` within it."""
-        start = F.col("upto") - F.col("c")
-        return (
-            cumulated.where((F.col("r") > start) & (F.col("r") <= F.col("upto")))
-            .withColumn("r", F.col("r") - start)
-            .drop("c", "upto")
-        )
-
-    everything = Window.partitionBy(F.lit(0)).orderBy("b1")
-    coarse = (
-        binned.groupBy("b1").agg(F.sum("c").alias("c")).withColumn("upto", F.sum("c").over(everything))
-    )
-    first = locate(
-        coarse.withColumn("w", F.explode(wanted)).select("b1", "c", "upto", "w.name", "w.r")
-    )
-    inside = binned.join(first.select("b1").distinct(), "b1", "left_semi")
-    fine = (
-        inside.groupBy("b1", "b2")
-        .agg(F.sum("c").alias("c"))
-        .withColumn("upto", F.sum("c").over(Window.partitionBy("b1").orderBy("b2")))
-    )
-    second = locate(first.join(fine, "b1"))
-    sliver = inside.join(second.select("b1", "b2").distinct(), ["b1", "b2"], "left_semi").withColumn(
-        "upto", F.sum("c").over(Window.partitionBy("b1", "b2").orderBy("v"))
-    )
-    exact = locate(second.join(sliver, ["b1", "b2"]))
-    return exact.agg(*[F.max(F.when(F.col("name") == k, F.col("v"))).alias(k) for k in ranks])
-
-
-def interpolated_ranks(name: str, p: float) -> dict[str, Column]:
+    try:
+        low, high, n = counted.agg(F.min("v"), F.max("v"), F.sum("c")).first()
+        if n is None:
+            return {"n": 0} | dict.fromkeys(ranks)
+        found: dict[str, float | None] = {"n": n}
+        todo = {name: (low, high, min(max(int(rank(n)), 1), n)) for name, rank in ranks.items()}
+        while todo:
+            spans = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(a).alias("a"), F.lit(b).alias("b")) for k, (a, b, _) in todo.items()])
+            inside = counted.select("v", "c", F.inline(spans)).where(F.col("v").between(F.col("a"), F.col("b")))
+            bin_no = F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("a"), F.col("b") - F.col("a")) * BINS), F.lit(0))
+            hist = inside.groupBy("name", bin_no.alias("bin")).agg(F.sum("c"), F.min("v"), F.max("v")).collect()
+            for name in list(todo):
+                left = todo[name][2]
+                for _, _, c, a, b in sorted((h for h in hist if h[0] == name), key=lambda h: h[1]):
+                    if left <= c:
+                        break
+                    left -= c
+                if a == b:
+                    found[name] = a
+                    del todo[name]
+                else:
+                    todo[name] = (a, b, left)
+        return found
+    finally:
+        counted.unpersist()
+
+
+def interpolated_ranks(name: str, p: float) -> dict[str, Callable[[int], int]]:
     """The two ranks around the linear-interpolation quantile ``p``."""
-    pos = (F.col("n") - 1) * F.lit(float(p))
-    return {f"{name}_lo": F.floor(pos) + 1, f"{name}_hi": F.ceil(pos) + 1}
+    return {f"{name}_lo": lambda n: math.floor((n - 1) * p) + 1, f"{name}_hi": lambda n: math.ceil((n - 1) * p) + 1}
 
 
-def interpolate(name: str, p: float, n: Column) -> Column:
-    pos = (n - 1) * F.lit(float(p))
-    return F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * (pos - F.floor(pos))
+def interpolate(found: Mapping[str, float | None], name: str, p: float) -> float | None:
+    if not found["n"]:
+        return None
+    pos = (found["n"] - 1) * p
+    low, high = found[f"{name}_lo"], found[f"{name}_hi"]
+    return low + (high - low) * (pos - math.floor(pos))

@@ -384,27 +384,15 @@ def describe_column(df: DataFrame, column: str) -> DataFrame:
     quartiles = {"q25": 0.25, "median": 0.5, "q75": 0.75}
     ranks = {k: v for name, p in quartiles.items() for k, v in interpolated_ranks(name, p).items()}
     found = order_statistics(df, column, ranks)
-    basics = df.agg(
+    exact = [round_even(F.lit(interpolate(found, name, p)).cast("double"), 6).alias(name) for name, p in quartiles.items()]
+    return df.agg(
         F.count(column).alias("count"),
-        F.avg(column).alias("mean"),
-        F.stddev_samp(column).alias("std"),
+        round_even(F.avg(column), 6).alias("mean"),
+        round_even(F.stddev_samp(column), 6).alias("std"),
         F.min(column).alias("min"),
+        *exact,
         F.max(column).alias("max"),
     )
-    n = F.col("count")
-    values = found.select(F.struct("*")).scalar()
-    return (
-        basics.withColumn("_v", values)
-        .select("*", "_v.*")
-        .select(
-            "count",
-            round_even(F.col("mean"), 6).alias("mean"),
-            round_even(F.col("std"), 6).alias("std"),
-            "min",
-            *[round_even(interpolate(name, p, n), 6).alias(name) for name, p in quartiles.items()],
-            "max",
-        )
-    )
 
 
 def histogram(df: DataFrame, column: str, bins: int, low: float = 0.0, high: float = 1.0, keys: Sequence[str] = ()) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import hash_rank, order_statistics, seeded_hash
 from ..functions.semantics import drop_null_keys, ratio, round_even
+from ..functions.session import cut_lineage
 from .features import zscore_scale
 
 TREES = 100
@@ -117,33 +118,28 @@ def isolation_forest_score(df: DataFrame, nodes: DataFrame, features: Sequence[s
     scored = scaled.mapInPandas(score, schema)
     if not flag:
         return scored
-    rank = F.greatest(F.lit(1), F.ceil(F.col("n") * contamination))
-    cutoff = order_statistics(scored, "anomaly_score", {"cutoff": rank}).select("cutoff").scalar()
-    return scored.withColumn("is_anomaly", F.col("anomaly_score") <= cutoff)
+    scored = cut_lineage(scored)  # the threshold and the result share one scoring pass
+    cutoff = order_statistics(scored, "anomaly_score", {"cutoff": lambda n: math.ceil(n * contamination)})["cutoff"]
+    return scored.withColumn("is_anomaly", F.col("anomaly_score") <= F.lit(cutoff))
 
 
 def recall_top_share(df: DataFrame, score: str, ids: Sequence[str], priority: str = "priority_code", share: float = TOP_SHARE, seed: int = 42) -> DataFrame:
     """Share of the high-priority rows among the lowest-scored ``share`` of all rows.
 
     Scores are compared at six digits; equal scores are ordered by a seeded hash of the row id.
-    Rows are only counted per score; just the rows on the cut-off score are ranked.
+    The cut-off score is found by counting; just the rows on it are ranked.
     """
     high = F.coalesce(F.col(priority).rlike("E1|F1"), F.lit(False))
     rows = drop_null_keys(df, score).select(round_even(F.col(score), 6).alias("s"), high.alias("high"), seeded_hash(seed, *ids).alias("h"))
-    per_score = rows.groupBy("s").agg(F.count("*").alias("n"), F.count_if("high").alias("high"))
-    w = Window.partitionBy(F.lit(0)).orderBy("s")
-    total = per_score.agg(F.sum("n").alias("n"), F.sum("high").alias("high"))
-    quota = F.floor(total.select("n").scalar() * F.lit(share))
-    cum = per_score.withColumn("upto", F.sum("n").over(w)).withColumn("before", F.col("upto") - F.col("n"))
-    edge = cum.where((F.col("before") < quota) & (F.col("upto") > quota)).select("s", (quota - F.col("before")).alias("need"))
-    whole = cum.where(F.col("upto") <= quota).agg(F.coalesce(F.sum("high"), F.lit(0)).alias("hit"))
-    on_edge = rows.where(F.col("s") == edge.select("s").scalar())
-    ranked = hash_rank(on_edge, [], "h", "r").where(F.col("r") <= edge.select("need").scalar())
-    tied = ranked.agg(F.count_if("high")).scalar()
-    hit = F.col("hit") + tied
-    return whole.select(
-        quota.cast("bigint").alias("top_rows"),
-        total.select("high").scalar().alias("high_priority_rows"),
-        hit.alias("captured"),
-        round_even(F.coalesce(ratio(hit, total.select("high").scalar()), F.lit(0.0)), 6).alias("recall"),
+    found = order_statistics(rows, "s", {"cutoff": lambda n: math.floor(n * share)})
+    quota = math.floor(found["n"] * share)
+    below = F.col("s") < F.lit(found["cutoff"])
+    total, under, hit = rows.agg(F.count_if("high"), F.count_if(below), F.count_if(below & F.col("high"))).first()
+    tied = hash_rank(rows.where(F.col("s") == F.lit(found["cutoff"])), [], "h", "r").where(F.col("r") <= quota - under)
+    captured = F.count_if("high") + hit
+    return tied.agg(
+        F.lit(quota).cast("bigint").alias("top_rows"),
+        F.lit(total).cast("bigint").alias("high_priority_rows"),
+        captured.alias("captured"),
+        round_even(F.coalesce(ratio(captured, F.lit(total)), F.lit(0.0)), 6).alias("recall"),
     )

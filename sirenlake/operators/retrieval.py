@@ -299,23 +299,16 @@ def latency_percentiles(df: DataFrame, seconds: str = "latency_s", success: str
     Without any success the percentiles are infinite.
     """
     ok = df.where(F.col(success))
-    ranks = interpolated_ranks("p50", 0.5) | {"p95": F.ceil(F.col("n") * F.lit(95) / F.lit(100))}
-    found = order_statistics(ok, seconds, ranks).select(F.struct("*")).scalar()
-    basics = ok.agg(F.count(seconds).alias("n"), F.avg(seconds).alias("mean"), F.min(seconds).alias("min"), F.max(seconds).alias("max"))
-    never = lambda c: F.coalesce(c, F.lit(float("inf")))
-    return (
-        basics.withColumn("_v", found)
-        .select("*", "_v.*")
-        .select(
-            "n",
-            never(round_even(interpolate("p50", 0.5, F.col("n")), 6)).alias("p50"),
-            never(F.col("p95")).alias("p95"),
-            never(round_even(F.col("mean"), 6)).alias("mean"),
-            "min",
-            "max",
-        )
-        .withColumn("passes", (F.col("p50") <= P50_TARGET_S) & (F.col("p95") <= P95_TARGET_S))
-    )
+    found = order_statistics(ok, seconds, interpolated_ranks("p50", 0.5) | {"p95": lambda n: -(-n * 95 // 100)})
+    never = lambda c: F.coalesce(c.cast("double"), F.lit(float("inf")))
+    return ok.agg(
+        F.count(seconds).alias("n"),
+        never(round_even(F.lit(interpolate(found, "p50", 0.5)).cast("double"), 6)).alias("p50"),
+        never(F.lit(found["p95"])).alias("p95"),
+        never(round_even(F.avg(seconds), 6)).alias("mean"),
+        F.min(seconds).alias("min"),
+        F.max(seconds).alias("max"),
+    ).withColumn("passes", (F.col("p50") <= P50_TARGET_S) & (F.col("p95") <= P95_TARGET_S))
 
 
 def eval_summary(components: Sequence[DataFrame]) -> DataFrame:

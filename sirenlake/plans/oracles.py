@@ -127,12 +127,24 @@ def html_oracle() -> str:
 
 
 P = text_parts("text")
+B = text_parts("t")
 
 ORACLES: dict[str, str] = {
     "read_parquet_projected": "SELECT o_orderkey, o_orderpriority FROM orders",
     "write_fact_parquet": sql("SELECT year, count(*) AS rows FROM dispatch GROUP BY 1", "dispatch"),
     "write_tables": sql("SELECT * FROM overview", "overview"),
     "read_census": sql("SELECT * FROM census", "census"),
+    "read_csv_dispatch": sql("SELECT " + ", ".join(
+        f"coalesce({c}, 'EMS') AS service" if c == "service" else f"nullif(trim({c}), '') AS {c.upper() if c.endswith('_text') else c}" for c in RAW_COLUMNS.split(", ")) + " FROM dispatch_raw", "dispatch_raw"),
+    "read_documents": sql(f"""+ bodies AS (SELECT {tidy_space("title || chr(10) || chr(10) || text")} AS t FROM docs)
+        SELECT 'local_document' AS category, CAST({B['chars']} AS INTEGER) AS chars, {B['chars']} >= 120 AND {B['alpha']} >= 0.5 AND {B['readable']} >= 0.95 AS passes FROM bodies""", "docs"),
+    "read_chunks_jsonl": sql(f"""
+        SELECT source_id, count(*) AS chunks, {bigint('sum(length(piece))')} AS chars FROM windows WHERE len({chunk_reasons('piece')}) = 0 GROUP BY 1""", "windows"),
+    "write_chunks_jsonl": sql(f"""+ good AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM windows WHERE len({chunk_reasons('piece')}) = 0)
+        SELECT substr(sha1(source_id || ':' || k || ':' || piece), 1, 16) AS chunk_id, source_id, 'Report ' || doc_id AS title, CAST(k AS INTEGER) AS chunk_index, piece AS text,
+          CAST(length(piece) AS INTEGER) AS quality_chars FROM good""", "windows"),
+    "split_long_text": sql("SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INTEGER) AS position, piece FROM windows WHERE piece <> ''", "windows"),
+    "ensure_columns": sql("SELECT " + RAW_COLUMNS.replace(" geoid,", "") + ", CAST(NULL AS VARCHAR) AS geoid, CAST(NULL AS TINYINT) AS call_quarter, CAST(NULL AS SMALLINT) AS call_year FROM dispatch_raw", "dispatch_raw"),
     # cleaning
     "rename_canonical": sql("SELECT call_id_hash AS incident_id, service AS service_type, description_short AS call_type, geoid AS census_block_group FROM dispatch_raw", "dispatch_raw"),
     "normalise_headers": sql(f"SELECT {RAW_COLUMNS} FROM dispatch_raw".replace("quarter_text", "quarter_text AS QUARTER_TEXT").replace("call_year_text", "call_year_text AS CALL_YEAR_TEXT").replace(" year_text", " year_text AS YEAR_TEXT"), "dispatch_raw"),
@@ -278,9 +290,10 @@ ORACLES: dict[str, str] = {
         FROM (SELECT city_name, {r('mean * 100', 2)} AS score_pct FROM city_mean WHERE mean IS NOT NULL) ORDER BY score_pct DESC, city_name LIMIT 15""", "city_mean"),
     "call_type_spread": sql(f"SELECT call_type, {bigint('sum(total_calls)')} AS total_calls, max(unique_cbg_count) AS cbg_spread FROM types GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 12", "types"),
     "bubble_scale": sql(f"SELECT census_block_group, call_count, {r('4 + 28 * (call_count / (SELECT max(call_count) FROM centroids))', 6)} AS bubble_size FROM centroids", "centroids"),
-    "grid_density": sql(f"""+ span AS (SELECT min(latitude) AS y0, max(latitude) AS y1, min(longitude) AS x0, max(longitude) AS x1 FROM centroids)
+    "grid_density": sql(f"""+ spots AS (SELECT call_count, {r('latitude', 6)} AS latitude, {r('longitude', 6)} AS longitude FROM centroids),
+        span AS (SELECT min(latitude) AS y0, max(latitude) AS y1, min(longitude) AS x0, max(longitude) AS x1 FROM spots)
         SELECT CAST(greatest(1, ceil((latitude - y0) / (y1 - y0) * 20)) AS INTEGER) AS lat_bin, CAST(greatest(1, ceil((longitude - x0) / (x1 - x0) * 20)) AS INTEGER) AS lon_bin,
-          {bigint('sum(call_count)')} AS total, {r('avg(latitude)', 6)} AS latitude, {r('avg(longitude)', 6)} AS longitude FROM centroids, span GROUP BY 1, 2""", "centroids"),
+          {bigint('sum(call_count)')} AS total, {r('avg(latitude)', 6)} AS latitude, {r('avg(longitude)', 6)} AS longitude FROM spots, span GROUP BY 1, 2""", "centroids"),
     "cluster_summary": clusters(f"""
         SELECT cluster, count(*) AS points, {r('avg(latitude)', 6)} AS centre_lat, {r('avg(longitude)', 6)} AS centre_lon,
           (SELECT {r('avg(latitude)', 6)} FROM clustered) AS map_lat, (SELECT {r('avg(longitude)', 6)} FROM clustered) AS map_lon

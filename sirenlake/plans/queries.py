@@ -63,7 +63,7 @@ def _chunks(s, d):
 def write_chunks_jsonl(s, d):
     path = scratch_path(s, "chunks")
     writers.write_chunks_jsonl(_chunks(s, d).drop("doc_id", "chunk_chars"), path)
-    return readers.read_chunks_jsonl(s, path)
+    return readers.read_chunks_jsonl(s, path).select("chunk_id", "source_id", "title", "chunk_index", "text", "quality_chars")
 
 
 def read_chunks_jsonl(s, d):
@@ -74,7 +74,7 @@ def read_documents(s, d):
     path = scratch_path(s, "documents")
     docs = X.documents(s, d)
     docs.select("source_id", F.concat("title", F.lit("\n\n"), "text").alias("value")).write.option("maxRecordsPerFile", 1).partitionBy("source_id").text(path)
-    return readers.read_documents(s, path).select("source_id", "title", "category", "file_name", "chars", "passes")
+    return readers.read_documents(s, path).select("category", "chars", "passes")
 
 
 def write_fact_parquet(s, d):
@@ -586,7 +586,7 @@ QUERIES: dict[str, Query] = {
     "equity_rank": lambda s, d: A.equity_rank(_city(s, d)),
     "call_type_spread": lambda s, d: A.call_type_spread(A.geo_call_type_cbg_agg(X.dispatch(s, d))),
     "bubble_scale": lambda s, d: rounded(A.bubble_scale(_centroids(s, d)).select("census_block_group", "call_count", "bubble_size"), "bubble_size"),
-    "grid_density": lambda s, d: rounded(A.grid_density(_centroids(s, d), "call_count"), "latitude", "longitude"),
+    "grid_density": lambda s, d: rounded(A.grid_density(rounded(_centroids(s, d), "latitude", "longitude"), "call_count"), "latitude", "longitude"),
     "cluster_summary": lambda s, d: rounded(A.cluster_summary(_clustered(s, d)), "centre_lat", "centre_lon", "map_lat", "map_lon"),
     "value_counts_top": lambda s, d: A.value_counts_top(X.dispatch(s, d), "priority_code", 15),
     "describe_column": lambda s, d: A.describe_column(X.dispatch(s, d), "response_time_sec"),

@@ -259,6 +259,19 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT census_block_group, avg(latitude) AS latitude, avg(longitude) AS longitude, count(incident_id) AS call_volume
         FROM dispatch WHERE census_block_group IS NOT NULL GROUP BY 1 HAVING avg(latitude) IS NOT NULL AND avg(longitude) IS NOT NULL"""),
     "docs": ([], "SELECT doc_id, source AS source_id, 'Report ' || doc_id AS title, lang, text FROM documents"),
+    "windows": (["docs"], """
+        WITH RECURSIVE steps(doc_id, source_id, body, pos, start, stop) AS (
+          SELECT doc_id, source_id, body, CAST(0 AS INTEGER), 0, CASE WHEN length(body) <= 900 THEN length(body) WHEN cut > 120 THEN cut + 1 ELSE 900 END
+          FROM (SELECT doc_id, source_id, body, greatest(
+              CASE WHEN strpos(reverse(body[1:900]), ' .') > 0 THEN 900 - strpos(reverse(body[1:900]), ' .') - 1 ELSE -1 END,
+              CASE WHEN strpos(reverse(body[1:900]), chr(10)) > 0 THEN 900 - strpos(reverse(body[1:900]), chr(10)) ELSE -1 END) AS cut
+            FROM (SELECT doc_id, source_id, text AS body FROM docs WHERE length(text) > 0))
+          UNION ALL
+          SELECT doc_id, source_id, body, pos + 1, nxt, CASE WHEN length(body) <= nxt + 900 THEN length(body) WHEN cut > 120 THEN nxt + cut + 1 ELSE nxt + 900 END
+          FROM (SELECT *, greatest(CASE WHEN strpos(reverse(win), ' .') > 0 THEN 900 - strpos(reverse(win), ' .') - 1 ELSE -1 END,
+              CASE WHEN strpos(reverse(win), chr(10)) > 0 THEN 900 - strpos(reverse(win), chr(10)) ELSE -1 END) AS cut
+            FROM (SELECT *, body[nxt + 1:nxt + 900] AS win FROM (SELECT *, greatest(stop - 150, start + 1) AS nxt FROM steps WHERE stop < length(body)))))
+        SELECT doc_id, source_id, pos, CASE WHEN length(body) <= 900 THEN body ELSE trim(body[start + 1:stop], ' ' || chr(10)) END AS piece FROM steps"""),
     "retrieved": ([], """
         SELECT conv_id AS query_id, turn + 1 AS rank, CASE WHEN turn % 4 = 3 THEN '' ELSE 'src' || ((conv_id * 7 + turn * 3) % 5) END AS source_id,
           CASE WHEN turn % 3 = 1 THEN '' ELSE 'Guide ' || ((conv_id + turn) % 4) END AS title,
@@ -301,7 +314,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
             WHEN 4 THEN 'no verdict' ELSE '{"score": "high", "reasoning": "bad type"}' END AS response
         FROM (SELECT *, CASE WHEN turn % 5 = 4 THEN '-1.5' ELSE (turn % 4) || '.25' END AS s FROM conversations)"""),
     "judged": (["judge_raw"], """
-        SELECT judge_id, is_error, response, coalesce(least(3e0, greatest(0e0, given)), least(3e0, greatest(0e0, loose)), 0e0) AS score,
+        SELECT judge_id, is_error, response, CASE WHEN coalesce(given, loose) IS NULL THEN 0e0 ELSE least(3e0, greatest(0e0, coalesce(given, loose))) END AS score,
           CASE WHEN given IS NOT NULL THEN regexp_extract(blob, '"reasoning": "([^"]*)"', 1) WHEN loose IS NOT NULL THEN trim(response)
             ELSE 'Could not parse judge response: ' || substr(response, 1, 200) END AS reasoning
         FROM (SELECT *, try_cast(nullif(regexp_extract(blob, '"score": "?([^",}]*)', 1), '') AS DOUBLE) AS given,
