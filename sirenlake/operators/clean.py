@@ -162,9 +162,8 @@ def completeness_score(df: DataFrame, columns: Sequence[str] = QUALITY_COLUMNS)
 
 def quarter_label(c: Column | str) -> Column:
     """1, "1.0", "Quarter 1" and "Q1" all become "Q1"."""
-    text = F.replace(F.replace(F.upper(col(c).cast("string")), F.lit("QUARTER "), F.lit("Q")), F.lit(" "), F.lit(""))
-    number = text.try_cast("double")
-    return F.when(number.isNotNull(), F.concat(F.lit("Q"), number.cast("int").cast("string"))).otherwise(text)
+    text = F.regexp_replace(F.upper(col(c).cast("string")), "QUARTER | ", "")
+    return F.regexp_replace(text, r"^Q?0*(\d+)(\.\d*)?$", "Q$1")
 
 
 def canonicalise_aliases(df: DataFrame, aliases: Mapping[str, Sequence[str]] = COLUMN_ALIASES) -> DataFrame:
@@ -212,12 +211,9 @@ PRIORITY_LEVELS = [level for level, _ in PRIORITY_WORDS] + ["Other"]
 
 def priority_level(description: Column | str, whole_words: bool = False) -> Column:
     """Five levels from free text. Substrings count, so "hospitals" is ALS unless whole_words."""
+    edge = r"\b" if whole_words else ""
     text = F.lower(col(description))
-
-    def found(word: str) -> Column:
-        return text.rlike(rf"\b{word}\b") if whole_words else text.contains(word)
-
-    rules = [(level, reduce(lambda a, b: a | b, map(found, words))) for level, words in PRIORITY_WORDS]
+    rules = [(level, text.rlike(f"{edge}({'|'.join(words)}){edge}")) for level, words in PRIORITY_WORDS]
     return F.coalesce(*[F.when(hit, F.lit(level)) for level, hit in rules], F.lit("Other"))
 
 
