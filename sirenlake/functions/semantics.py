@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,3 +71,13 @@ def drop_null_keys(df: DataFrame, *keys: str) -> DataFrame:
 
 def clamp(c: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), c))
+
+
+def unnest(df: DataFrame, keep: Sequence[str], items: Column | str, value: str, position: str = "position") -> DataFrame:
+    """One row per array element with its 0-based position; empty arrays give no row.
+
+    The outer form keeps the optimiser from repeating a costly array expression in a filter
+    below the generator; the rows it adds for empty arrays are dropped afterwards.
+    """
+    rows = df.select(*keep, F.posexplode_outer(col(items)).alias(position, value))
+    return rows.where(F.col(position).isNotNull())

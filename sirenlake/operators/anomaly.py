@@ -58,23 +58,19 @@ def _grow(features: Sequence[str], seed: int):
 def isolation_forest_fit(df: DataFrame, ids: Sequence[str], features: Sequence[str] = FEATURES, trees: int = TREES, seed: int = 42) -> DataFrame:
     """Node table of a forest on z-scored features (those present).
 
-    Each tree sees 256 rows drawn by a seeded hash from a pool of trees x 256, so fitting costs
-    the same for any input size and gives the same trees for any partitioning.
+    Rows are put in the order of a seeded hash; the first trees x 256 of them form a pool, and
+    each tree takes the next 256 of the pool, going round when it is short. So fitting costs the
+    same for any input size and gives the same trees for any partitioning.
     """
     used = [f for f in features if f in df.columns]
     scaled = zscore_scale(df.na.drop(subset=used), used)
-    pool = (
-        scaled.select(seeded_hash(seed, *ids).alias("_h"), *[F.col(f"{f}_z").cast("double").alias(f) for f in used])
-        .orderBy("_h")
-        .limit(trees * TREE_ROWS)
-    )
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "_k", F.md5(F.concat_ws("|", "tree", "_h"))
-    )
-    per_tree = drawn.withColumn("_r", F.row_number().over(Window.partitionBy("tree").orderBy("_k"))).where(
-        F.col("_r") <= TREE_ROWS
-    )
-    return per_tree.select("tree", "_h", *used).groupBy("tree").applyInPandas(_grow(used, seed), NODE_SCHEMA)
+    hashed = scaled.select(seeded_hash(seed, *ids).alias("_h"), *[F.col(f"{f}_z").cast("double").alias(f) for f in used])
+    pool = hashed.orderBy("_h").limit(trees * TREE_ROWS)
+    one = Window.partitionBy(F.lit(0))
+    placed = pool.withColumns({"_r": F.row_number().over(one.orderBy("_h")) - 1, "_n": F.count("*").over(one)})
+    takes = lambda t: F.pmod(F.col("_r") - t * TREE_ROWS, F.col("_n")) < TREE_ROWS
+    members = placed.withColumn("tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), takes)))
+    return members.select("tree", "_h", *used).groupBy("tree").applyInPandas(_grow(used, seed), NODE_SCHEMA)
 
 
 def isolation_forest_score(df: DataFrame, nodes: DataFrame, features: Sequence[str] = FEATURES, contamination: float = CONTAMINATION, flag: bool = True) -> DataFrame:

@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import interpolate, interpolated_ranks, order_statistics
-from ..functions.semantics import clamp, col, round_even, strip
+from ..functions.semantics import clamp, col, round_even, strip, unnest
 
 TOP_K = 5
 SNIPPET_CHARS = 260
 BULLET_CHARS = 220
 GRAM = 3
+LEADING = 3
 
 # Words that never count as search terms (shorter words are dropped by length).
 STOPWORDS = (
@@ -39,11 +40,16 @@ P95_TARGET_S = 8.0
 
 
 def query_terms(queries: DataFrame, query_id: str, question: str) -> DataFrame:
-    """(query, term, times, lead): search terms, how often each occurs, whether it leads."""
+    """(query, term, times, lead, leads): search terms, how often each occurs, whether it is among
+    the first three, and how many different terms those three are."""
     tokens = F.regexp_extract_all(F.lower(question), F.lit("[a-z0-9]+"), F.lit(0))
     terms = F.filter(tokens, lambda t: (F.length(t) > 2) & ~t.isin(*STOPWORDS))
-    placed = queries.select(F.col(query_id).alias("query_id"), F.posexplode(terms).alias("pos", "term"))
-    return placed.groupBy("query_id", "term").agg(F.count("*").alias("times"), (F.min("pos") < 3).alias("lead"))
+    kept = queries.select(F.col(query_id).alias("query_id"), terms.alias("terms"))
+    kept = kept.withColumn("leads", F.size(F.array_distinct(F.slice("terms", 1, LEADING))))
+    placed = unnest(kept, ["query_id", "leads"], "terms", "term", "pos")
+    return placed.groupBy("query_id", "term").agg(
+        F.count("*").alias("times"), (F.min("pos") < LEADING).alias("lead"), F.max("leads").alias("leads")
+    )
 
 
 def _grams(c: Column) -> Column:
@@ -62,10 +68,9 @@ def keyword_rank(
     """
     terms = query_terms(queries, query_id, question)
     text = F.lower(F.concat_ws(" ", *fields))
-    tokens = documents.select(
-        F.col(doc_id).alias("doc_id"), F.explode(F.regexp_extract_all(text, F.lit("[a-z0-9]{3,}"), F.lit(0))).alias("token")
-    )
-    vocabulary = tokens.select("token").distinct().select("token", F.explode(_grams(F.col("token"))).alias("gram"))
+    found_tokens = F.regexp_extract_all(text, F.lit("[a-z0-9]{3,}"), F.lit(0))
+    tokens = unnest(documents.withColumnRenamed(doc_id, "doc_id"), ["doc_id"], found_tokens, "token").drop("position")
+    vocabulary = unnest(tokens.select("token").distinct(), ["token"], _grams(F.col("token")), "gram").drop("position")
     wanted = terms.select("term").distinct().withColumn("gram", F.substring("term", 1, GRAM))
     times = (F.length("token") - F.length(F.replace(F.col("token"), F.col("term"), F.lit("")))) / F.length("term")
     matches = (
@@ -79,12 +84,10 @@ def keyword_rank(
         .groupBy("doc_id", "term")
         .agg(F.sum(F.col("tf") * F.col("hits")).alias("hits"))
     )
-    leads = terms.groupBy("query_id").agg(F.count_if("lead").alias("leads"))
     scored = (
         found.join(terms, "term")
         .groupBy("query_id", "doc_id")
-        .agg(F.sum(F.col("hits") * F.col("times")).alias("hits"), F.count_if("lead").alias("leads_found"))
-        .join(leads, "query_id")
+        .agg(F.sum(F.col("hits") * F.col("times")).alias("hits"), F.count_if("lead").alias("leads_found"), F.max("leads").alias("leads"))
         .withColumn("score", F.col("hits") + F.when(F.col("leads_found") == F.col("leads"), 5).otherwise(0))
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")

@@ -10,6 +10,7 @@ from ..operators.clean import completeness_score
 from ..operators.forecast import quarterly_series
 from ..operators.retrieval import metadata_ids
 from ..operators.spatial import hotspot_input
+from ..sources.readers import spread_small
 
 CALL_TYPES = [
     "SICK", "FALL", "Breathing ", "CHEST PAIN", "OVERDOSE", "EMS ASSIST", "TRAFFIC - INJURIES", "INACCESSIBLE - ENTRAPMENT",
@@ -24,7 +25,7 @@ CALL_RULES = [(["TRAFFIC"], "Traffic Accident"), (["INACCESS", "ENTRAP"], "Unkno
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_small(spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 def nth(index: Column, values: list[str]) -> Column:

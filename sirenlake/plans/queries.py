@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.semantics import round_even
+from ..functions.semantics import round_even, unnest
 from ..functions.session import cut_lineage, scratch_path
 from ..operators import aggregates as A
 from ..operators import anomaly as N
@@ -438,13 +438,12 @@ def build_chunks(s, d):
 
 
 def paragraph_pack(s, d):
-    packs = X.documents(s, d).select("doc_id", F.posexplode(T.paragraph_pack("text")).alias("position", "paragraph"))
+    packs = unnest(X.documents(s, d), ["doc_id"], T.paragraph_pack("text"), "paragraph")
     return packs.select("doc_id", "position", F.length("paragraph").alias("chars"))
 
 
 def split_long_text(s, d):
-    pieces = X.documents(s, d).select("doc_id", F.posexplode(T.split_long_text("text")).alias("position", "piece"))
-    return pieces.select("doc_id", "position", "piece")
+    return unnest(X.documents(s, d), ["doc_id"], T.split_long_text("text"), "piece")
 
 
 def keyword_rank(s, d):
