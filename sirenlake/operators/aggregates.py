@@ -458,15 +458,14 @@ def blockgroup_profile(df: DataFrame, n: int = 10, order: str = "incident_id") -
 
 
 def distinct_summary(df: DataFrame) -> DataFrame:
-    """Distinct values per column and the year range.
-
-    One distinct count at a time keeps rows from being expanded once per counted column.
-    """
+    """Distinct values per column and the year range in one scan."""
     counts = {
         "call_types": "call_type", "cities": "city_name", "city_codes": "city_code", "block_groups": "census_block_group",
     }
-    out = df.agg(F.count("*").alias("total_rows"), F.min("year").alias("min_year"), F.max("year").alias("max_year"))
-    return out.withColumns({name: df.agg(F.count_distinct(c)).scalar() for name, c in counts.items()})
+    return df.agg(
+        F.count("*").alias("total_rows"), F.min("year").alias("min_year"), F.max("year").alias("max_year"),
+        *[F.count_distinct(c).alias(name) for name, c in counts.items()],
+    )
 
 
 def city_service_breakdown(df: DataFrame, n: int = 10) -> DataFrame:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import hash_rank, order_statistics, seeded_hash
+from ..functions.ranking import hash_int, hash_rank, order_statistics, seeded_hash
 from ..functions.semantics import drop_null_keys, ratio, round_even
 from ..functions.session import cut_lineage
 from .features import zscore_scale
@@ -63,9 +63,13 @@ def isolation_forest_fit(df: DataFrame, ids: Sequence[str], features: Sequence[s
     same for any input size and gives the same trees for any partitioning.
     """
     used = [f for f in features if f in df.columns]
-    scaled = zscore_scale(df.na.drop(subset=used), used)
-    hashed = scaled.select(seeded_hash(seed, *ids).alias("_h"), *[F.col(f"{f}_z").cast("double").alias(f) for f in used])
-    pool = hashed.orderBy("_h").limit(trees * TREE_ROWS)
+    complete = df.na.drop(subset=used)
+    hashed = zscore_scale(complete, used).select(seeded_hash(seed, *ids).alias("_h"), *[F.col(f"{f}_z").cast("double").alias(f) for f in used])
+    # Four times the pool is far more than enough for its lowest hashes, so big inputs send only
+    # that many rows to the sort; the pool itself is the same as without this filter.
+    wanted = trees * TREE_ROWS
+    near = hash_int(F.col("_h")) < 4.0 * wanted / complete.agg(F.count("*")).scalar() * 2**32
+    pool = hashed.where(near).orderBy("_h").limit(wanted)
     one = Window.partitionBy(F.lit(0))
     placed = pool.withColumns({"_r": F.row_number().over(one.orderBy("_h")) - 1, "_n": F.count("*").over(one)})
     takes = lambda t: F.pmod(F.col("_r") - t * TREE_ROWS, F.col("_n")) < TREE_ROWS

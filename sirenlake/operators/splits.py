@@ -66,8 +66,8 @@ def forecaster_split(df: DataFrame) -> DataFrame:
     )
     roles = period_rank(counted).select("year", "quarter", "role")
     dated = counted.join(roles, ["year", "quarter"])
-    spread = stratified_split(dated, keys)
-    return spread.withColumn("role", F.when(F.col("role") == "random", F.col("split")).otherwise(F.col("role"))).drop("split")
+    undated = stratified_split(dated.where(F.col("role") == "random"), keys)
+    return dated.where(F.col("role") != "random").unionByName(undated.withColumn("role", F.col("split")).drop("split"))
 
 
 def fit_eval_split(df: DataFrame, ids: Sequence[str], seed: int = SEED, fit: float = 0.80) -> DataFrame:

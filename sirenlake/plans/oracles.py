@@ -295,8 +295,8 @@ ORACLES: dict[str, str] = {
         SELECT CAST(greatest(1, ceil((latitude - y0) / (y1 - y0) * 20)) AS INTEGER) AS lat_bin, CAST(greatest(1, ceil((longitude - x0) / (x1 - x0) * 20)) AS INTEGER) AS lon_bin,
           {bigint('sum(call_count)')} AS total, {r('avg(latitude)', 6)} AS latitude, {r('avg(longitude)', 6)} AS longitude FROM spots, span GROUP BY 1, 2""", "centroids"),
     "cluster_summary": clusters(f"""
-        SELECT cluster, count(*) AS points, {r('avg(latitude)', 6)} AS centre_lat, {r('avg(longitude)', 6)} AS centre_lon,
-          (SELECT {r('avg(latitude)', 6)} FROM clustered) AS map_lat, (SELECT {r('avg(longitude)', 6)} FROM clustered) AS map_lon
+        SELECT cluster, count(*) AS points, {r('avg(latitude)', 9)} AS centre_lat, {r('avg(longitude)', 9)} AS centre_lon,
+          (SELECT {r('avg(latitude)', 9)} FROM clustered) AS map_lat, (SELECT {r('avg(longitude)', 9)} FROM clustered) AS map_lon
         FROM clustered WHERE cluster >= 0 GROUP BY 1"""),
     "value_counts_top": sql("SELECT priority_code, count(*) AS call_count FROM dispatch GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15", "dispatch"),
     "describe_column": sql(f"""
@@ -336,7 +336,7 @@ ORACLES: dict[str, str] = {
         SELECT event_id, CAST(h AS TINYINT) AS hour, CAST(d AS TINYINT) AS day_of_week, CAST(m AS TINYINT) AS month,
           {wave('h', 24, 'hour')}, {wave('d', 7, 'dow')}, {wave('m', 12, 'month')}
         FROM (SELECT event_id, hour(ts) AS h, isodow(ts) - 1 AS d, month(ts) AS m FROM events)""",
-    "geo_target_encoding": f"SELECT event_id, user_id, {r('avg(value) OVER (PARTITION BY user_id)', 6)} AS user_id_target_enc FROM events",
+    "geo_target_encoding": f"SELECT event_id, user_id, {r('avg(value) OVER (PARTITION BY user_id)', 9)} AS user_id_target_enc FROM events",
     "lag_features": """
         SELECT event_id, event_type, lag(value, 1) OVER w AS value_lag_1, lag(value, 2) OVER w AS value_lag_2, lag(value, 3) OVER w AS value_lag_3
         FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""",
@@ -438,6 +438,12 @@ ORACLES: dict[str, str] = {
         FROM (SELECT regexp_matches(priority_code, 'E1|F1') AS high, row_number() OVER (ORDER BY {r('anomaly_score', 6)}, md5('42|' || incident_id)) AS rk, count(*) OVER () AS n FROM scored)""", "scored"),
     # text
     "html_visible_text": html_oracle(),
+    "html_visible_text_exact": html_oracle(),
+    "paragraph_pack": sql("""+ parts AS (SELECT doc_id, list_filter(list_transform(string_split_regex(text, '\\n\\s*\\n'), lambda p: trim(p, ' ' || chr(9) || chr(10) || chr(13))), lambda p: p <> '') AS p FROM docs),
+        packs AS (SELECT doc_id, list_reduce(list_transform(p, lambda x: [x]), lambda acc, x: CASE WHEN length(acc[-1]) + 2 + length(x[1]) <= 900
+          THEN list_concat(acc[:-2], [acc[-1] || chr(10) || chr(10) || x[1]]) ELSE list_concat(acc, x) END) AS packs FROM parts WHERE len(p) > 0)
+        SELECT doc_id, CAST(position - 1 AS INTEGER) AS position, CAST(length(paragraph) AS INTEGER) AS chars
+        FROM (SELECT doc_id, unnest(packs) AS paragraph, generate_subscripts(packs, 1) AS position FROM packs)""", "docs"),
     "clean_text": sql(f"SELECT doc_id, {tidy_space('t')} AS text FROM (SELECT doc_id, {BARE.format(x=unescaped('text'))} AS t FROM docs)", "docs"),
     "slugify": sql("SELECT doc_id, coalesce(nullif(trim(regexp_replace(lower(trim(title || ' / ' || string_split(text, '.')[1])), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'document') AS slug FROM docs", "docs"),
     "doc_quality": sql(f"""

@@ -265,7 +265,7 @@ def cyclical_features(s, d):
 
 def geo_target_encoding(s, d):
     out = W.geo_target_encoding(X.events_feat(s, d), "user_id", "value")
-    return rounded(out.select("event_id", "user_id", "user_id_target_enc"), "user_id_target_enc")
+    return rounded(out.select("event_id", "user_id", "user_id_target_enc"), "user_id_target_enc", digits=9)
 
 
 def lag_features(s, d):
@@ -586,7 +586,7 @@ QUERIES: dict[str, Query] = {
     "call_type_spread": lambda s, d: A.call_type_spread(A.geo_call_type_cbg_agg(X.dispatch(s, d))),
     "bubble_scale": lambda s, d: rounded(A.bubble_scale(_centroids(s, d)).select("census_block_group", "call_count", "bubble_size"), "bubble_size"),
     "grid_density": lambda s, d: rounded(A.grid_density(rounded(_centroids(s, d), "latitude", "longitude"), "call_count"), "latitude", "longitude"),
-    "cluster_summary": lambda s, d: rounded(A.cluster_summary(_clustered(s, d)), "centre_lat", "centre_lon", "map_lat", "map_lon"),
+    "cluster_summary": lambda s, d: rounded(A.cluster_summary(_clustered(s, d)), "centre_lat", "centre_lon", "map_lat", "map_lon", digits=9),
     "value_counts_top": lambda s, d: A.value_counts_top(X.dispatch(s, d), "priority_code", 15),
     "describe_column": lambda s, d: A.describe_column(X.dispatch(s, d), "response_time_sec"),
     "histogram": lambda s, d: A.histogram(X.dispatch(s, d), "completeness_score", 20),
