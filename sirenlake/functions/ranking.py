@@ -53,7 +53,7 @@ def range_rank(
     """1-based rank within ``groups`` by ``order`` (which must be unique within a group).
 
     A range shuffle on groups + order splits hot groups and ties alike. The result is
-    checkpointed first, so partition numbers and offsets always describe the same rows.
+    written out first, so partition numbers and offsets always describe the same rows.
     """
     groups, order = list(groups), list(order)
     spark = df.sparkSession

@@ -18,8 +18,9 @@ def shared_dir(spark: SparkSession) -> str:
     )
     if named:
         return named
-    current = spark.sparkContext.getCheckpointDir()
-    return current or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -28,8 +29,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (never on executor-local disks)."""
+    """The same rows from a table written to the shared folder, so lost executors cost nothing.
+
+    A table also gives the optimiser true sizes. A checkpoint keeps the estimates of the plan it
+    replaces, which grow with every round of an iterative job until planning dominates.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -186,7 +186,7 @@ def recursive_forecast(
     """Feed each prediction back as the newest lag.
 
     The driver loops over the horizon only; a step is one projection over all series, whose state
-    is the few most recent values. Each step is checkpointed so that plans stay flat.
+    is the few most recent values. Each step is written out so that plans stay flat.
     """
     reach = max(lags)
     w = Window.partitionBy(series).orderBy("ds")

@@ -159,16 +159,20 @@ def core_points(points: DataFrame, eps: float, min_samples: int, x: str = "latit
 
 
 def _connected(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """(v, label): the lowest vertex of each component, by neighbour minima and pointer jumps."""
+    """(v, label): the lowest vertex of each component.
+
+    Per round all vertices with one label take the lowest label next to any of them, then the
+    label of that label. Whole groups merge at once, so rounds grow with the logarithm of the size.
+    """
     labels = cut_lineage(vertices.select("v", F.col("v").alias("label")))
     while True:
         near = edges.join(labels, edges.b == labels.v).groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near, labels.v == near.a, "left").select(
-            "v", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label")
-        )
-        roots = step.select(F.col("v").alias("root"), F.col("label").alias("jump"))
+        seen = labels.join(near, labels.v == near.a, "left").select("v", F.col("label").alias("old"), F.least("label", "near").alias("near"))
+        hooks = seen.groupBy("old").agg(F.min("near").alias("label"))
+        moved = seen.select("v", "old").join(hooks, "old")
+        roots = moved.select(F.col("v").alias("root"), F.col("label").alias("jump"))
         step = cut_lineage(
-            step.join(roots, F.col("label") == F.col("root")).select("v", "old", F.least("label", "jump").alias("label"))
+            moved.join(roots, F.col("label") == F.col("root")).select("v", "old", F.least("label", "jump").alias("label"))
         )
         labels = step.select("v", "label")
         if step.where(F.col("label") != F.col("old")).isEmpty():
