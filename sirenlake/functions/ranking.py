@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,13 @@ def hash_int(hex_key: Column, start: int = 1, digits: int = 8) -> Column:
     return F.conv(F.substring(hex_key, start, digits), 16, 10).cast("bigint")
 
 
+def _join_offsets(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Equi-join that keeps rows with a missing group (they form a group of their own)."""
+    renamed = offsets.withColumnsRenamed({k: f"_o_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys])
+    return rows.join(renamed, same).drop(*[f"_o_{k}" for k in keys])
+
+
 def hash_rank(df: DataFrame, groups: Sequence[str], key: str, name: str = "rank") -> DataFrame:
     """1-based rank by the hash column ``key`` within ``groups`` plus the group size.
 
@@ -41,7 +49,7 @@ def hash_rank(df: DataFrame, groups: Sequence[str], key: str, name: str = "rank"
     )
     in_slice = Window.partitionBy(*groups, "_slice").orderBy(key)
     return (
-        sliced.join(offsets, [*groups, "_slice"])
+        _join_offsets(sliced, offsets, [*groups, "_slice"])
         .withColumn(name, F.col("_before") + F.row_number().over(in_slice))
         .drop("_slice", "_before")
     )
@@ -69,7 +77,7 @@ def range_rank(
     )
     in_part = Window.partitionBy(*groups, "_pid").orderBy(*order)
     return (
-        placed.join(offsets, [*groups, "_pid"])
+        _join_offsets(placed, offsets, [*groups, "_pid"])
         .withColumn(name, F.col("_before") + F.row_number().over(in_part))
         .drop("_pid", "_before")
     )

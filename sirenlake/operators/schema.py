@@ -53,7 +53,7 @@ CANONICAL_NAMES = {
     "census_block_group_center__y": "latitude",
 }
 
-# Columns that count towards completeness, in canonical naming; the last three may be absent.
+# Columns that count towards completeness; the last three may be absent.
 CORE_COLUMNS = [
     "incident_id", "service_type", "priority_code", "priority_description", "quarter", "year",
     "call_type", "city_code", "city_name",
@@ -68,6 +68,7 @@ CANONICAL_SCHEMA = T.StructType(
     + [T.StructField("longitude", T.DoubleType()), T.StructField("latitude", T.DoubleType())]
 )
 
+# Storage type per raw column.
 STORAGE_TYPES = {
     "call_id_hash": "string", "service": "string", "priority": "string", "priority_desc": "string",
     "call_quarter": "tinyint", "call_year": "smallint", "description_short": "string",
@@ -76,7 +77,7 @@ STORAGE_TYPES = {
     "response_time_sec": "float",
 }
 
-# Older spellings that may carry a canonical column's values, in order of preference.
+# Older spellings that may carry a canonical column's values, in order of preference.
 COLUMN_ALIASES = {
     "priority_code": ["priority", "PRIORITY"],
     "priority_description": ["priority_desc", "PRIORITY_DESC"],

@@ -58,3 +58,12 @@ def test_lags_cross_block_and_partition_borders(spark):
         mine = [d for d in data if d[0] == g]
         for i, d in enumerate(mine):
             assert got[d[2]] == (mine[i - 1][3] if i >= 1 else None, mine[i - 3][3] if i >= 3 else None)
+
+
+def test_rows_without_a_group_are_kept(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(20)], "id int, g string")
+    by_hash = hash_rank(df.withColumn("h", seeded_hash(1, "id")), ["g"], "h")
+    by_range = range_rank(df, ["g"], ["id"], partitions=3)
+    for ranked in (by_hash, by_range):
+        for g in ("a", None):
+            assert sorted(r["rank"] for r in ranked.collect() if r.g == g) == list(range(1, 11))
