@@ -102,10 +102,11 @@ def clean_response_time(df: DataFrame) -> DataFrame:
         seconds = to_number("response_time_sec")
     elif {"unit_dispatch_time", "unit_on_scene_time"} <= set(df.columns):
         start, end = (
-            F.unix_micros(strip(F.col(c).cast("string")).try_cast("timestamp"))
+            strip(F.col(c).cast("string")).try_cast("timestamp_ntz")
             for c in ("unit_dispatch_time", "unit_on_scene_time")
         )
-        seconds = (end - start) / F.lit(1e6)
+        # Wall-clock times without a zone: a change to summer time must not add an hour.
+        seconds = (end - start).cast("interval second").cast("decimal(18,6)").cast("double")
     else:
         seconds = F.lit(None).cast("double")
     return df.withColumn("response_time_sec", seconds).withColumn(

@@ -98,3 +98,16 @@ def test_quarantine_loses_no_row(spark, sf):
     assert valid.count() + failing.count() == dirty.count()
     assert failing.where(F.size("violations") == 0).isEmpty()
     assert quality.validation_summary(dirty).first().invalid_count == failing.count()
+
+
+def test_derived_response_times_ignore_summer_time(spark):
+    df = spark.createDataFrame(
+        [("2020-03-08 01:30:00", "2020-03-08 03:00:00.5"), ("2020-01-01 00:00:00", "2020-01-01 03:00:00"), ("x", "2020-01-01 00:00:00")],
+        "unit_dispatch_time string, unit_on_scene_time string",
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert [r.response_time_sec for r in clean.clean_response_time(df).collect()] == [5400.5, None, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
