@@ -18,11 +18,11 @@ from ..functions.session import cut_lineage
 from .clean import filter_by
 from .features import cycle, quarter_lag_features
 from .joins import join_forecasts
-from .mapping import label_map
 
 Z95 = 1.96
 MIN_HISTORY = 6
 QUARTER_LAGS = (1, 2, 4)
+SERIES_CODES = 1 << 20
 STEP_MONTHS = {"month": 1, "quarter": 3}
 
 
@@ -148,12 +148,17 @@ def _boosted_features(lags: Sequence[int]) -> list[str]:
     return ["series_index", "t", "q_sin", "q_cos", *[f"lag_{n}" for n in lags]]
 
 
+def _series_index(series: str) -> Column:
+    """A number per series that needs no global numbering of the series."""
+    return F.pmod(F.xxhash64(series), F.lit(SERIES_CODES)).cast("int")
+
+
 def boosted_frame(ts: DataFrame, series: str = "series_id", lags: Sequence[int] = QUARTER_LAGS) -> DataFrame:
     """Lag features, series index and a time-based hold-out mark (last fifth, at least 3 rows).
 
     A series too short to keep three training rows gives up fewer hold-out rows.
     """
-    rows = quarter_lag_features(ts, series, lags).join(label_map(ts, series, "series_index"), series)
+    rows = quarter_lag_features(ts, series, lags).withColumn("series_index", _series_index(series))
     whole = Window.partitionBy(series)
     from_end = F.row_number().over(whole.orderBy(F.desc("ds")))
     size = F.count("*").over(whole)
@@ -197,8 +202,7 @@ def recursive_forecast(
     state = (
         recent.withColumn("r", F.row_number().over(newest))
         .where((F.col("r") == 1) & (F.col("n") >= reach))
-        .join(label_map(ts, series, "series_index"), series)
-        .select(series, "series_index", "n", "state", F.date_trunc(grain, F.col("ds")).cast("date").alias("d"))
+        .select(series, _series_index(series).alias("series_index"), "n", "state", F.date_trunc(grain, F.col("ds")).cast("date").alias("d"))
     )
     state = cut_lineage(state)
     steps = []
