@@ -39,8 +39,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_UP = _powers(BASE, 1 << 16)
-_DOWN = _powers(BASE_INVERSE, 1 << 16)
+_UP = _DOWN = np.ones(1, np.uint64)
 
 
 class Words:
@@ -66,7 +65,7 @@ class Words:
         self.count = np.diff(first)
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.count)
         if n >= len(_UP):
-            _UP, _DOWN = _powers(BASE, 2 * n), _powers(BASE_INVERSE, 2 * n)
+            _UP, _DOWN = _powers(BASE, 2 * n + 2), _powers(BASE_INVERSE, 2 * n + 2)
         self._sums = np.zeros(n + 1, np.uint64)
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _UP[:n], out=self._sums[1:])
         self.hashes = self.spans(self.start, self.end)
@@ -97,25 +96,25 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES
 def shingle_hashes(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hash and document of every run of ``width`` words; shorter documents give their whole sequence."""
     h, doc = words.hashes, words.doc
-    odd = [np.uint64((0x9E3779B97F4A7C15 * (2 * j + 1)) & ((1 << 64) - 1) | 1) for j in range(width)]
-    full = np.zeros(0, np.uint64)
-    of = np.zeros(0, np.int64)
+    full, of = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if len(h) >= width:
         m = len(h) - width + 1
-        full = sum((h[j : j + m] * odd[j] for j in range(1, width)), h[:m] * odd[0])
+        full = h[:m]
+        for j in range(1, width):
+            full = mix(full * BASE + h[j : j + m])
         same = doc[:m] == doc[width - 1 :]
         full, of = full[same], doc[:m][same]
     brief = np.flatnonzero((words.count > 0) & (words.count < width))
     if len(brief):
         first = np.concatenate([[0], np.cumsum(words.count)])[brief]
-        value = words.count[brief].astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
+        value = words.count[brief].astype(np.uint64)
         for j in range(width - 1):
             has = words.count[brief] > j
-            value[has] += h[first[has] + j] * odd[j]
+            value[has] = mix(value[has] * BASE + h[first[has] + j])
         full, of = np.concatenate([full, value]), np.concatenate([of, brief])
         order = np.argsort(of, kind="stable")
         full, of = full[order], of[order]
-    return mix(full), of
+    return full, of
 
 
 def word_count(text: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, url_filter
+from . import embedding_dedup, minhash_dedup, mixing, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +19,16 @@ def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.plan_mix(_table(spark, sf_dir, "documents")))
 
 
-LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_url_reputation, op10_source_mix)}
+LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_url_reputation, op8_embedding_dedup, op9_minhash_dedup, op10_source_mix)}
