@@ -20,6 +20,7 @@ BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+NO_LETTER = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])  # ASCII other than letters and digits
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -49,11 +50,11 @@ class Words:
     words of each document; ``hashes`` has one 64-bit number per word that depends on its bytes only.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True, gaps: np.ndarray = SPACE):
         global _UP, _DOWN
         n = len(data)
         self.data = LOWER[data] if lower else data
-        solid = ~SPACE[data]
+        solid = ~gaps[data]
         fresh = np.ones(n + 1, bool)  # no word reaches over the place before this byte
         fresh[1:n] = ~solid[:-1]
         fresh[offsets] = True

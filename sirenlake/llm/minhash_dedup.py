@@ -6,13 +6,12 @@ rounds place all shingles into coordinate i - COORDS, so every coordinate fills;
 as its sketch is full. Agreement of two sketches estimates Jaccard similarity with concentration bounds.
 
 Documents with equal shingle sets form one class. Classes meet in bands of the sketch; pairs from bands
-are confirmed on full shingle sets. Bands with many classes never emit all pairs: see ``_link``.
+are confirmed on full shingle sets. Bands with many classes never emit all pairs: see ``linking``.
 """
 
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +21,11 @@ from pyspark.sql import functions as F
 
 from sirenlake.functions.session import cut_lineage
 
-from .common import Words, connected_components, mix, pieces, shingle_hashes
+from .common import Words, mix, pieces, shingle_hashes
+from .linking import link, shared_bands
 
 COORDS, ROWS = 128, 4
 BANDS = COORDS // ROWS
-SMALL = 16  # bands of up to so many classes compare all their pairs at once
 ROUND = np.uint64(48)
 LOW = np.uint64((1 << 48) - 1)
 
@@ -139,64 +138,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """Rarest shingles of every set, as many as two similar sets must have one in common of: ``band``, ``id``, ``size``, ``place``."""
+    """Rarest shingles of every set, as many as two similar sets must have one in common of: ``band``, ``id``, ``size``, ``mark``."""
     schema = "id long, size long, band long"
     rows = sets.mapInArrow(_set_rows, schema)
     common = rows.groupBy("band").agg(F.count("*").alias("df"))
-    place = F.row_number().over(Window.partitionBy("id").orderBy("df", "band"))
+    mark = F.row_number().over(Window.partitionBy("id").orderBy("df", "band"))
     least = F.ceil(F.col("size") * percent / 100)
-    return rows.join(common, "band").withColumn("place", place).where((F.col("place") <= F.col("size") - least + 1) & (F.col("df") > 1)).select("band", "id", "size", "place")
-
-
-def _link(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Components over classes that meet in bands: ``id``, ``component_id`` for every linked class.
-
-    Every round compares pairs of classes of one band that are not yet in one component. Bands of up to
-    SMALL classes compare all of them and are done. In larger bands the leaders are compared with all
-    others and then leave. After the first round, the classes of bands that are still open meet anew in
-    their rarest shingles instead (a prefix filter, which loses no pair), because large groups of half
-    similar texts share bands but no rare shingles. From then on there are 16 leaders, then four times as many each round, those of the
-    smallest components first, so rounds end for every band and no pair of different components is left
-    out, while a large group of near copies costs about one comparison per class.
-    """
-    edges, components, leaders = None, None, 1
-    members = members.withColumn("component", F.col("id")).withColumn("place", F.lit(1))
-    # if this is the first shingle two sets share, no more than what follows it can be shared
-    rest = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place")) + 1
-    near = rest * (100 + percent) >= (F.col("size") + F.col("other_size")) * percent
-    apart = (F.col("a") != F.col("b")) & (F.col("component") != F.col("other")) & near
-    pair = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    other = ("band", F.col("id").alias("b"), F.col("component").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"))
-    for turn_no in itertools.count():
-        if turn_no == 1:
-            still = _open(members).select(F.col("id").alias("doc_id")).distinct()
-            members = _prefixes(sets.join(still, "doc_id", "left_semi"), percent).join(components, "id", "left")
-            members = members.select("band", "id", F.coalesce("component_id", "id").alias("component"), "size", "place")
-        members = _open(members)
-        if members.isEmpty():
-            return components
-        small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
-        of_component = large.groupBy("band", "component").agg(F.count("*").alias("k"))
-        turn = F.row_number().over(Window.partitionBy("band").orderBy("k", "id"))
-        lead = cut_lineage(large.join(of_component, ["band", "component"]).withColumn("turn", turn).where(F.col("turn") <= leaders).select(*other))
-        in_small = small.withColumnRenamed("id", "a").join(small.select(*other), "band").where(apart & (F.col("a") < F.col("b"))).select(*pair)
-        in_large = large.withColumnRenamed("id", "a").join(lead, "band").where(apart).select(*pair)
-        pairs = cut_lineage(in_small.union(in_large).distinct())
-        found = cut_lineage(_confirmed(pairs, sets, percent))
-        edges = found if edges is None else edges.union(found)
-        components = connected_components(edges)
-        members = (
-            large.drop("n", "component").join(lead.select("band", F.col("b").alias("id")), ["band", "id"], "left_anti")
-            .join(components, "id", "left")
-            .select("band", "id", F.coalesce("component_id", "id").alias("component"), "size", "place")
-        )
-        leaders = 16 if turn_no == 0 else leaders * 4
-
-
-def _open(members: DataFrame) -> DataFrame:
-    """Members of bands that hold more than one component, with the band's size ``n``."""
-    stats = members.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    return cut_lineage(members.join(stats.where("low < high").select("band", "n"), "band"))
+    return rows.join(common, "band").withColumn("mark", mark).where((F.col("mark") <= F.col("size") - least + 1) & (F.col("df") > 1)).select("band", "id", "size", "mark")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -214,12 +162,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     usable = sketched.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
     classes = cut_lineage(usable.groupBy("set_key").agg(F.min("doc_id").alias("id")))
     leads = usable.join(classes, ["set_key"]).where(F.col("doc_id") == F.col("id"))
-    banded = leads.select("id", F.col("n_shingles").alias("size"), F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    members = cut_lineage(banded.join(shared, "band").dropDuplicates(["band", "id"]))
+    members = shared_bands(leads.select("id", F.col("n_shingles").alias("size"), F.lit(1).alias("mark"), F.explode("bands").alias("band")))
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
     sets = cut_lineage(source.join(wanted, "doc_id", "left_semi").mapInArrow(_set_batches, SETS).dropDuplicates(["doc_id"]))
-    components = _link(members, sets, percent)
+    # mark is the place of a shingle in its set: if it is the first that two sets share, only what follows can be shared too
+    rest = F.least(F.col("size") - F.col("mark"), F.col("other_size") - F.col("other_mark")) + 1
+    near = rest * (100 + percent) >= (F.col("size") + F.col("other_size")) * percent
+    # large groups of half similar texts share bands, but few rare shingles
+    refine = lambda ids: _prefixes(sets.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), percent)
+    components = link(members, lambda pairs: _confirmed(pairs, sets, percent), near, refine)
     of_class = classes
     if components is not None:
         of_class = classes.join(components, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("id"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import embedding_dedup, minhash_dedup, mixing, url_filter
+from . import embedding_dedup, line_dedup, minhash_dedup, mixing, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines before and dropped, and the digest of the text that stays."""
+    docs = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
@@ -31,4 +42,4 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.plan_mix(_table(spark, sf_dir, "documents")))
 
 
-LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_url_reputation, op8_embedding_dedup, op9_minhash_dedup, op10_source_mix)}
+LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op4_line_dedup, op6_url_reputation, op8_embedding_dedup, op9_minhash_dedup, op10_source_mix)}
