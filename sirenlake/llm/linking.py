@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,15 +15,16 @@ SMALL = 16  # bands of up to so many items compare all their pairs at once
 
 
 def shared_bands(banded: DataFrame) -> DataFrame:
-    """Rows of bands that hold at least two items; columns ``band``, ``id`` and any others."""
-    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    return cut_lineage(banded.join(shared, "band").dropDuplicates(["band", "id"]))
+    """Items (``id``, ``size``, ``mark``) of every ``band`` with at least two, its size ``n`` and its ``first`` item."""
+    item = F.struct("id", "size", "mark")
+    shared = banded.groupBy("band").agg(F.count("*").alias("n"), F.min(item).alias("first")).where("n > 1")
+    return cut_lineage(banded.join(shared, "band").select("band", "id", "size", "mark", "n", "first"))
 
 
-def _open(members: DataFrame) -> DataFrame:
-    """Members of bands that hold more than one component, with the band's size ``n``."""
-    stats = members.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    return cut_lineage(members.join(stats.where("low < high").select("band", "n"), "band"))
+def _components_of(items: DataFrame, components: DataFrame, name: str, new: str) -> DataFrame:
+    """Add the component of the column ``name`` (itself if it has no link)."""
+    of = components.select(F.col("id").alias(name), F.col("component_id").alias(new))
+    return items.join(of, name, "left").withColumn(new, F.coalesce(new, name))
 
 
 def link(
@@ -32,41 +32,53 @@ def link(
     confirm: Callable[[DataFrame], DataFrame],
     near: Column,
     refine: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame | None:
-    """``id`` and ``component_id`` of every linked item; None if no band holds two items.
-
-    ``members`` has ``band``, ``id``, ``size`` and ``mark``. ``near`` may reject a pair by ``size``, ``mark``,
-    ``other_size`` and ``other_mark``; ``confirm`` returns those of the pairs (a, b) that link.
-
-    Every round compares pairs of one band that are not yet in one component. Bands of up to SMALL items
-    compare all of them and are done. In larger bands some leaders are compared with all others and then
-    leave: one in the first round, then 16, then four times as many each round, those of the smallest
-    components first. So rounds end for every band and no pair of different components is left out,
-    while a large group of copies costs about one comparison per item. ``refine`` may give the items of
-    bands that are still open after the first round other bands (in which all their links still meet).
+) -> DataFrame:
+    """``id`` and ``component_id`` of every linked item among ``members`` of ``shared_bands``.
+
+    ``near`` may reject a pair by ``size``, ``mark``, ``other_size`` and ``other_mark``; ``confirm`` returns
+    those of the pairs (a, b) that link.
+
+    First, bands of up to SMALL items compare all their pairs and are done; items of larger bands are
+    compared with the band's first item. Bands in which all are then in one component are done, too.
+    ``refine`` may give the items of the others new bands in which all their links still meet.
+    Further rounds compare only items of different components: small bands all of them, larger ones their
+    leaders with all others, 16 at first, four times as many each round, those of the smallest components
+    first. Leaders then leave the band, so rounds end for every band and no pair of different components
+    is left out, while a large group of copies costs about one comparison per item.
     """
-    edges, components, leaders = None, None, 1
-    members = members.withColumn("component", F.col("id"))
-    apart = (F.col("a") != F.col("b")) & (F.col("component") != F.col("other")) & near
     pair = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    other = ("band", F.col("id").alias("b"), F.col("component").alias("other"), F.col("size").alias("other_size"), F.col("mark").alias("other_mark"))
-    known = ("band", "id", F.coalesce("component_id", "id").alias("component"), "size", "mark")
-    for turn_no in itertools.count():
-        members = _open(members)
+    other = (F.col("id").alias("b"), F.col("size").alias("other_size"), F.col("mark").alias("other_mark"))
+    small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
+    in_small = small.withColumnRenamed("id", "a").join(small.select("band", *other), "band").where((F.col("a") < F.col("b")) & near).select("a", "b")
+    star = large.select(F.col("id").alias("a"), "size", "mark", F.col("first.id").alias("b"), F.col("first.size").alias("other_size"), F.col("first.mark").alias("other_mark"))
+    in_large = star.where((F.col("a") != F.col("b")) & near).select(*pair)
+    edges = cut_lineage(confirm(cut_lineage(in_small.union(in_large).distinct())))
+    components = connected_components(edges)
+
+    spokes = large.select("id", F.col("first.id").alias("lead")).where("id != lead").distinct()
+    unsettled = _components_of(_components_of(spokes, components, "id", "x"), components, "lead", "y").where("x != y").select("id", "lead")
+    open_bands = large.withColumn("lead", F.col("first.id")).join(unsettled, ["id", "lead"], "left_semi").select("band").distinct()
+    members = cut_lineage(large.join(open_bands, "band", "left_semi").select("band", "id", "size", "mark"))
+    if refine is not None:
+        members = refine(members.select("id").distinct())
+    members = _components_of(members, components, "id", "component")
+
+    apart = (F.col("a") != F.col("b")) & (F.col("component") != F.col("other")) & near
+    other = ("band", *other, F.col("component").alias("other"))
+    leaders = 16
+    while True:
+        stats = members.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+        members = cut_lineage(members.join(stats.where("low < high").select("band", "n"), "band"))
         if members.isEmpty():
             return components
-        if turn_no == 1 and refine is not None:
-            members = _open(refine(members.select("id").distinct()).join(components, "id", "left").select(*known))
         small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
         of_component = large.groupBy("band", "component").agg(F.count("*").alias("k"))
         turn = F.row_number().over(Window.partitionBy("band").orderBy("k", "id"))
         lead = cut_lineage(large.join(of_component, ["band", "component"]).withColumn("turn", turn).where(F.col("turn") <= leaders).select(*other))
         in_small = small.withColumnRenamed("id", "a").join(small.select(*other), "band").where(apart & (F.col("a") < F.col("b"))).select(*pair)
         in_large = large.withColumnRenamed("id", "a").join(lead, "band").where(apart).select(*pair)
-        found = cut_lineage(confirm(cut_lineage(in_small.union(in_large).distinct())))
-        edges = found if edges is None else edges.union(found)
+        edges = edges.union(cut_lineage(confirm(cut_lineage(in_small.union(in_large).distinct()))))
         components = connected_components(edges)
         left = large.drop("n", "component").join(lead.select("band", F.col("b").alias("id")), ["band", "id"], "left_anti")
-        members = left.join(components, "id", "left").select(*known)
-        leaders = 16 if turn_no == 0 else leaders * 4
-    return components
+        members = _components_of(left, components, "id", "component")
+        leaders *= 4
