@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, line_dedup, minhash_dedup, mixing, toxicity, url_filter
+from . import embedding_dedup, line_dedup, minhash_dedup, mixing, pii, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
+def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -42,4 +46,4 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.plan_mix(_table(spark, sf_dir, "documents")))
 
 
-LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op4_line_dedup, op6_url_reputation, op8_embedding_dedup, op9_minhash_dedup, op10_source_mix)}
+LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op4_line_dedup, op6_url_reputation, op7_pii_spans, op8_embedding_dedup, op9_minhash_dedup, op10_source_mix)}
