@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, line_dedup, minhash_dedup, mixing, pii, toxicity, url_filter
+from . import embedding_dedup, line_dedup, minhash_dedup, mixing, pii, sentencepiece_scan, toxicity, url_filter
+
+MODEL_FILE = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +29,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of the pieces of every text, and whether they decode to it."""
+    vocab = sentencepiece_scan.load_vocabulary(MODEL_FILE)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = sentencepiece_scan.decode_documents(sentencepiece_scan.encode_documents(docs, vocab), vocab)
+    return decoded.select(
+        "doc_id", F.size("_ids").cast("long").alias("n_pieces"), F.xxhash64("_ids").alias("pieces_hash"), F.col("text").eqNullSafe(F.col("_decoded")).alias("round_trip")
+    )
+
+
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
@@ -46,4 +59,4 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.plan_mix(_table(spark, sf_dir, "documents")))
 
 
-LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op4_line_dedup, op6_url_reputation, op7_pii_spans, op8_embedding_dedup, op9_minhash_dedup, op10_source_mix)}
+LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op4_line_dedup, op5_sentencepiece, op6_url_reputation, op7_pii_spans, op8_embedding_dedup, op9_minhash_dedup, op10_source_mix)}
