@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, line_dedup, minhash_dedup, mixing, pii, sentencepiece_scan, toxicity, url_filter
+from . import bm25_search, embedding_dedup, importance, line_dedup, minhash_dedup, mixing, pii, sentencepiece_scan, toxicity, url_filter
 
 MODEL_FILE = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
@@ -23,6 +23,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best documents for every document whose id is divisible by 20."""
+    docs = _table(spark, sf_dir, "documents")
+    return bm25_search.top_documents(docs, docs.where("doc_id % 20 = 0"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines before and dropped, and the digest of the text that stays."""
     docs = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -59,4 +69,4 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.plan_mix(_table(spark, sf_dir, "documents")))
 
 
-LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op4_line_dedup, op5_sentencepiece, op6_url_reputation, op7_pii_spans, op8_embedding_dedup, op9_minhash_dedup, op10_source_mix)}
+LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_importance_resampling, op3_bm25_search, op4_line_dedup, op5_sentencepiece, op6_url_reputation, op7_pii_spans, op8_embedding_dedup, op9_minhash_dedup, op10_source_mix)}
