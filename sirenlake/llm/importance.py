@@ -98,7 +98,7 @@ def resample(
             for row, end, data, offsets in pieces(batch):
                 bucket, doc = ngram_buckets(data, offsets, buckets)
                 weight = np.bincount(doc, ratio[bucket], end - row)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, end - row), pa.array(weight)], ["doc_id", "log_weight"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, end - row), pa.array(weight, pa.float64())], ["doc_id", "log_weight"])
 
     weighed = docs.select("doc_id", "text").mapInArrow(weigh, "doc_id long, log_weight double")
     keyed = cut_lineage(weighed.withColumn("gumbel_key", F.col("log_weight") / temperature + gumbel(seed, "doc_id")))
