@@ -33,11 +33,13 @@ def _join_offsets(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> D
 def hash_rank(df: DataFrame, groups: Sequence[str], key: str, name: str = "rank") -> DataFrame:
     """1-based rank by the hash column ``key`` within ``groups`` plus the group size.
 
-    The first three hex digits split each group, however hot, into 4,096 even slices. Slice
-    counts (a small table) give the offset of a slice, so only slices are ever sorted.
+    The first hex digits split each group, however hot, into even slices: about as many as a slice of
+    the whole table then has rows, so neither the slices nor the table of their counts grows too large.
+    Slice counts give the offset of a slice, so only slices are ever sorted.
     """
     groups = list(groups)
-    sliced = df.withColumn("_slice", F.substring(key, 1, 3))
+    digits = max(1, math.ceil(math.log(max(df.count(), 1), 16) / 2))
+    sliced = df.withColumn("_slice", F.substring(key, 1, digits))
     per_slice = sliced.groupBy(*groups, "_slice").agg(F.count("*").alias("_n"))
     of_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     before = of_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,29 +86,36 @@ def range_rank(
 
 
 def order_statistics(values: DataFrame, column: str, ranks: Mapping[str, Callable[[int], int]]) -> dict[str, float | None]:
-    """Exact k-th smallest values; a rank is a function of ``n``, the number of non-null values.
+    """Exact k-th smallest values; a rank is a function of ``n``, the number of values that are neither NULL nor NaN.
 
-    Equal values are counted together first. Then histograms narrow every rank down until its bin
-    holds a single value; the next level spans just the smallest to the largest value of that bin,
-    so long tails cost a level, never a big sort. The driver sees at most BINS rows per rank.
+    Infinite values are counted and ranked apart. Histograms over the raw rows, combined inside every task,
+    narrow each rank down until its bin holds a single value; the next level spans just the smallest to the
+    largest value of that bin, so the span shrinks every time. The driver sees at most BINS rows per rank.
     """
-    counted = (
-        values.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("v"))
-        .agg(F.count("*").alias("c"))
-        .persist()
-    )
+    v = F.col("v")
+    kept = values.select(F.col(column).cast("double").alias("v")).where(v.isNotNull() & ~F.isnan("v")).persist()
     try:
-        low, high, n = counted.agg(F.min("v"), F.max("v"), F.sum("c")).first()
-        if n is None:
+        infinite = F.abs("v") == math.inf
+        low, high, below, above, n = kept.agg(
+            F.min(F.when(~infinite, v)), F.max(F.when(~infinite, v)), F.count_if(v == -math.inf), F.count_if(v == math.inf), F.count("v")
+        ).first()
+        if not n:
             return {"n": 0} | dict.fromkeys(ranks)
         found: dict[str, float | None] = {"n": n}
-        todo = {name: (low, high, min(max(int(rank(n)), 1), n)) for name, rank in ranks.items()}
+        todo = {}
+        for name, rank in ranks.items():
+            k = min(max(int(rank(n)), 1), n)
+            if k <= below or k > n - above:
+                found[name] = -math.inf if k <= below else math.inf
+            else:
+                todo[name] = (low, high, k - below)
         while todo:
             spans = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(a).alias("a"), F.lit(b).alias("b")) for k, (a, b, _) in todo.items()])
-            inside = counted.select("v", "c", F.inline(spans)).where(F.col("v").between(F.col("a"), F.col("b")))
-            bin_no = F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("a"), F.col("b") - F.col("a")) * BINS), F.lit(0))
-            hist = inside.groupBy("name", bin_no.alias("bin")).agg(F.sum("c"), F.min("v"), F.max("v")).collect()
+            inside = kept.select("v", F.inline(spans)).where(v.between(F.col("a"), F.col("b")))
+            # halves, so that the distance of two large numbers stays finite
+            share = F.try_divide(v / 2 - F.col("a") / 2, F.col("b") / 2 - F.col("a") / 2)
+            bin_no = F.when(v == F.col("b"), BINS).otherwise(F.coalesce(F.floor(share * BINS), F.lit(0)))
+            hist = inside.groupBy("name", bin_no.alias("bin")).agg(F.count("*"), F.min("v"), F.max("v")).collect()
             for name in list(todo):
                 left = todo[name][2]
                 for _, _, c, a, b in sorted((h for h in hist if h[0] == name), key=lambda h: h[1]):
@@ -120,7 +129,7 @@ def order_statistics(values: DataFrame, column: str, ranks: Mapping[str, Callabl
                     todo[name] = (a, b, left)
         return found
     finally:
-        counted.unpersist()
+        kept.unpersist()
 
 
 def interpolated_ranks(name: str, p: float) -> dict[str, Callable[[int], int]]:

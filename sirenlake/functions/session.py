@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a session without that setting (tests on one machine) gets a local folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if named:
-        return named
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return spark.sparkContext.getCheckpointDir()
+    """The folder, shared by all executors, that ``spark.checkpoint.dir`` or ``setCheckpointDir`` names."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return named
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

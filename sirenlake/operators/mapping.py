@@ -61,15 +61,14 @@ def mapping_report(df: DataFrame, source: str = "call_type", target: str = "mpds
 
 
 def collapse_long_tail(train: DataFrame, frames: Sequence[DataFrame], label: str, top_n: int, other: str = OTHER_LABEL) -> list[DataFrame]:
-    """Keep the ``top_n`` most frequent training classes in every frame, the rest become ``other``."""
-    kept = (
-        train.where(F.col(label).isNotNull())
-        .groupBy(label)
-        .agg(F.count("*").alias("_n"))
-        .orderBy(F.desc("_n"), label)
-        .limit(top_n)
-        .select(label, F.lit(True).alias("_kept"))
-    )
+    """Keep the ``top_n`` most frequent training classes in every frame, the rest become ``other``.
+
+    With no more than ``top_n`` classes there is no tail, and the frames stay as they are.
+    """
+    classes = train.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("_n"))
+    if classes.limit(top_n + 1).count() <= top_n:
+        return list(frames)
+    kept = classes.orderBy(F.desc("_n"), label).limit(top_n).select(label, F.lit(True).alias("_kept"))
     return [
         f.join(kept, label, "left")
         .withColumn(label, F.when(F.col("_kept"), F.col(label)).otherwise(F.lit(other)))

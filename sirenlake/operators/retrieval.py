@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import interpolate, interpolated_ranks, order_statistics
+from ..functions.session import cut_lineage
 from ..functions.semantics import clamp, col, round_even, strip, unnest
 
 TOP_K = 5
@@ -131,7 +132,10 @@ def vector_topk(queries: DataFrame, vectors: DataFrame, query_id: str, vec_id: s
 def vector_topk_lsh(
     queries: DataFrame, vectors: DataFrame, query_id: str, vec_id: str, embedding: str = "embedding", k: int = TOP_K, radius: float = 1.5, bucket: float = 2.0, tables: int = 4, seed: int = 42
 ) -> DataFrame:
-    """Approximate form: hashed candidates within ``radius``, re-ranked exactly."""
+    """Approximate form: hashed candidates within ``radius``, re-ranked exactly.
+
+    Queries that find fewer than ``k`` candidates are searched exactly, so every query gets its k rows.
+    """
     dense = lambda df, i, name: df.select(F.col(i).alias(name), F.col(embedding).alias(f"{name}_e"), array_to_vector(F.col(embedding).cast("array<double>")).alias("vector"))
     q, v = dense(queries, query_id, "query_id"), dense(vectors, vec_id, "vec_id")
     model = BucketedRandomProjectionLSH(inputCol="vector", outputCol="hashes", bucketLength=bucket, numHashTables=tables, seed=seed).fit(v)
@@ -139,14 +143,19 @@ def vector_topk_lsh(
         "datasetA.query_id", "datasetB.vec_id", squared_l2(F.col("datasetA.query_id_e"), F.col("datasetB.vec_id_e")).alias("distance")
     )
     best = Window.partitionBy("query_id").orderBy("distance", "vec_id")
-    return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    ranked = cut_lineage(near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k))
+    full = ranked.where(F.col("rank") == k).select(F.col("query_id").alias(query_id))
+    rest = cut_lineage(queries.join(full, query_id, "left_anti"))
+    short = vector_topk(rest, vectors, query_id, vec_id, embedding, k)
+    return ranked.join(full, F.col("query_id") == full[query_id], "left_semi").unionByName(short.select(*ranked.columns))
 
 
 def store_integrity(vectors: DataFrame, vec_id: str, embedding: str = "embedding") -> DataFrame:
-    """Rows, dimensions, missing vectors, and whether a probe (the first vector) finds a hit."""
+    """Rows, dimensions, missing vectors, and whether a probe (the first vector) finds another one."""
     dims = F.size(embedding)
     probe = vectors.where(F.col(embedding).isNotNull()).agg(F.min_by(embedding, F.col(vec_id))).scalar()
-    probed = vectors.withColumn("_probe", probe)
+    first = vectors.where(F.col(embedding).isNotNull()).agg(F.min(vec_id)).scalar()
+    probed = vectors.withColumn("_probe", probe).where(F.col(vec_id) != first)
     nearest = probed.agg(F.min(squared_l2(F.col(embedding), F.col("_probe")))).scalar()
     out = vectors.agg(
         F.count("*").alias("rows"), F.count_if(F.col(embedding).isNull()).alias("missing"), F.min(dims).alias("min_dim"), F.max(dims).alias("max_dim")
@@ -266,6 +275,11 @@ def precision_summary(per_query: DataFrame, target: float = PRECISION_TARGET) ->
     return per_query.agg(F.count("*").alias("queries"), round_even(mean, 6).alias("mean_precision"), (round_even(mean, 6) >= target).alias("passes"))
 
 
+# How a score stands in loose text, and the note on a reply that holds none.
+LOOSE_SCORE = r'(?i)score["\s:]+(-?\d+(?:\.\d+)?)'
+UNREAD = "Could not parse judge response: "
+
+
 def judge_parse(df: DataFrame, response: str = "response") -> DataFrame:
     """Score (0 to 3) and reasoning from a judge's reply.
 
@@ -276,9 +290,9 @@ def judge_parse(df: DataFrame, response: str = "response") -> DataFrame:
     doc = F.try_parse_json(F.nullif(blob, F.lit("")))
     given = F.try_variant_get(doc, "$.score", "string")
     number = F.when(doc.isNotNull(), F.coalesce(given, F.lit("0")).try_cast("double"))
-    loose = F.regexp_extract(text, r'(?i)score["\s:]+(-?\d+(?:\.\d+)?)', 1).try_cast("double")
+    loose = F.regexp_extract(text, LOOSE_SCORE, 1).try_cast("double")
     limit = lambda c: F.when(c.isNotNull(), clamp(c, 0.0, 3.0))
-    unread = F.concat(F.lit("Could not parse judge response: "), F.substring(text, 1, 200))
+    unread = F.concat(F.lit(UNREAD), F.substring(text, 1, 200))
     return df.withColumns(
         {
             "score": F.coalesce(limit(number), limit(loose), F.lit(0.0)),

@@ -445,7 +445,7 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, CAST(position - 1 AS INTEGER) AS position, CAST(length(paragraph) AS INTEGER) AS chars
         FROM (SELECT doc_id, unnest(packs) AS paragraph, generate_subscripts(packs, 1) AS position FROM packs)""", "docs"),
     "clean_text": sql(f"SELECT doc_id, {tidy_space('t')} AS text FROM (SELECT doc_id, {BARE.format(x=unescaped('text'))} AS t FROM docs)", "docs"),
-    "slugify": sql("SELECT doc_id, coalesce(nullif(trim(regexp_replace(lower(trim(title || ' / ' || string_split(text, '.')[1])), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'document') AS slug FROM docs", "docs"),
+    "slugify": sql("SELECT doc_id, coalesce(nullif(trim(regexp_replace(lower(trim(title || ' / ' || text)), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'document') AS slug FROM docs", "docs"),
     "doc_quality": sql(f"""
         SELECT doc_id, CAST({P['chars']} AS INTEGER) AS chars, {r(P['alpha'], 3)} AS alpha_ratio, {r(P['readable'], 3)} AS readable_ratio,
           {P['chars']} >= 120 AND {P['alpha']} >= 0.5 AND {P['readable']} >= 0.95 AS passes FROM docs""", "docs"),

@@ -15,7 +15,7 @@ EAGER = {
     "recursive_forecast", "gbt_lag_forecast", "read_documents", "isolation_forest_score", "geo_kpis", "cluster_summary", "assign_clusters",
 }
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
-CHUNKER = {"write_chunks_jsonl", "read_chunks_jsonl", "split_long_text", "paragraph_pack", "html_visible_text_exact", "silhouette_exact"}
+CHUNKER = {"silhouette_exact"}
 
 
 def physical(df):

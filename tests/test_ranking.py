@@ -67,3 +67,10 @@ def test_rows_without_a_group_are_kept(spark):
     for ranked in (by_hash, by_range):
         for g in ("a", None):
             assert sorted(r["rank"] for r in ranked.collect() if r.g == g) == list(range(1, 11))
+
+
+def test_order_statistics_with_nan_and_infinity(spark):
+    values = [float("nan"), None, float("inf"), float("-inf"), float("-inf"), 1e308, -1e308, 0.0, 2.0, 3.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = order_statistics(df, "v", {str(k): (lambda n, k=k: k) for k in range(1, 9)})
+    assert [got["n"], *(got[str(k)] for k in range(1, 9))] == [8, float("-inf"), float("-inf"), -1e308, 0.0, 2.0, 3.0, 1e308, float("inf")]
