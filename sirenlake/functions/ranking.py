@@ -38,7 +38,7 @@ def hash_rank(df: DataFrame, groups: Sequence[str], key: str, name: str = "rank"
     Slice counts give the offset of a slice, so only slices are ever sorted.
     """
     groups = list(groups)
-    digits = max(1, math.ceil(math.log(max(df.count(), 1), 16) / 2))
+    digits = max(3, math.ceil(math.log(max(df.count(), 1), 16) / 2))
     sliced = df.withColumn("_slice", F.substring(key, 1, digits))
     per_slice = sliced.groupBy(*groups, "_slice").agg(F.count("*").alias("_n"))
     of_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))

@@ -64,19 +64,35 @@ def make_classifier(kind: str = "forest", label: str = "label_code", weight: str
     if kind == "forest":
         options = {"numTrees": 40, "maxDepth": 8, "minInstancesPerNode": 5, "maxBins": 64} | params
         return RandomForestClassifier(**common, seed=seed, **options, **({"weightCol": weight} if weight else {}))
-    # Each one-vs-rest problem stops early when the validation rows no longer improve.
     options = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "maxBins": 64} | params
     booster = GBTClassifier(featuresCol="features", seed=seed, **options)
     return OneVsRest(classifier=booster, **common, **({"weightCol": weight} if weight else {}))
 
 
 def train_classifier(train: DataFrame, label: str = "label_code", balanced: bool = False, kind: str = "forest", **params) -> PipelineModel:
+    """Features are fitted on the table alone, then the trees; ``maxBins`` follows the largest category count."""
     data = as_numbers(train)
-    weight = None
+    columns, weight = ["features", label], None
     if balanced:
         weight = "weight"
         data = data.join(class_weights(train, label).select(label, weight), label)
-    return Pipeline(stages=[*feature_prep(), make_classifier(kind, label, weight, **params)]).fit(data)
+        columns.append(weight)
+    prep = Pipeline(stages=feature_prep()).fit(as_numbers(train))
+    data = nominal_label(data, label)
+    trees = make_classifier(kind, label, weight, **({"maxBins": bins_for(prep)} | params)).fit(prep.transform(data).select(*columns))
+    return PipelineModel([*prep.stages, trees])
+
+
+def bins_for(prep: PipelineModel) -> int:
+    """Bins that hold every category of the fitted indexer and the one for unknown values."""
+    return max(64, *(len(labels) + 1 for labels in prep.stages[0].labelsArray))
+
+
+def nominal_label(df: DataFrame, label: str) -> DataFrame:
+    """State the number of classes on the label, so that it is not guessed (which stops at 100)."""
+    classes = int(df.agg(F.max(label)).first()[0] or 0) + 1
+    meta = {"ml_attr": {"type": "nominal", "name": label, "num_vals": classes}}
+    return df.withColumn(label, F.col(label).cast("double").alias(label, metadata=meta))
 
 
 def confidence(df: DataFrame) -> Column:
@@ -113,9 +129,9 @@ def tune_classifier(train: DataFrame, validation: DataFrame, label: str = "label
     Features are prepared once; ``fitMultiple`` fits the candidates on the shared frame.
     """
     prep = Pipeline(stages=feature_prep()).fit(as_numbers(train))
-    fit_on = prep.transform(as_numbers(train)).select("features", label).persist()
+    fit_on = prep.transform(nominal_label(as_numbers(train), label)).select("features", label).persist()
     score_on = prep.transform(as_numbers(validation)).select("features", label).persist()
-    base = make_classifier(label=label, seed=seed)
+    base = make_classifier(label=label, seed=seed, maxBins=bins_for(prep))
     samples = parameter_samples(trials, seed)
     maps = [{base.getParam(k): v for k, v in s.items()} for s in samples]
     rows = []

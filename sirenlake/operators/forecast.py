@@ -13,6 +13,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranking import range_rank
 from ..functions.semantics import drop_null_keys, ratio, round_even
 from ..functions.session import cut_lineage
 from .clean import filter_by
@@ -22,7 +23,6 @@ from .joins import join_forecasts
 Z95 = 1.96
 MIN_HISTORY = 6
 QUARTER_LAGS = (1, 2, 4)
-SERIES_CODES = 1 << 20
 STEP_MONTHS = {"month": 1, "quarter": 3}
 
 
@@ -148,9 +148,9 @@ def _boosted_features(lags: Sequence[int]) -> list[str]:
     return ["series_index", "t", "q_sin", "q_cos", *[f"lag_{n}" for n in lags]]
 
 
-def _series_index(series: str) -> Column:
-    """A number per series that needs no global numbering of the series."""
-    return F.pmod(F.xxhash64(series), F.lit(SERIES_CODES)).cast("int")
+def series_numbers(ts: DataFrame, series: str) -> DataFrame:
+    """Series in alphabetical order with a dense number, ``series_index``, of their own."""
+    return range_rank(ts.select(series).where(F.col(series).isNotNull()).distinct(), [], [series], "series_index").select(series, F.col("series_index").cast("int"))
 
 
 def boosted_frame(ts: DataFrame, series: str = "series_id", lags: Sequence[int] = QUARTER_LAGS) -> DataFrame:
@@ -158,7 +158,7 @@ def boosted_frame(ts: DataFrame, series: str = "series_id", lags: Sequence[int]
 
     A series too short to keep three training rows gives up fewer hold-out rows.
     """
-    rows = quarter_lag_features(ts, series, lags).withColumn("series_index", _series_index(series))
+    rows = quarter_lag_features(ts, series, lags).join(series_numbers(ts, series), series, "left")
     whole = Window.partitionBy(series)
     from_end = F.row_number().over(whole.orderBy(F.desc("ds")))
     size = F.count("*").over(whole)
@@ -202,7 +202,8 @@ def recursive_forecast(
     state = (
         recent.withColumn("r", F.row_number().over(newest))
         .where((F.col("r") == 1) & (F.col("n") >= reach))
-        .select(series, _series_index(series).alias("series_index"), "n", "state", F.date_trunc(grain, F.col("ds")).cast("date").alias("d"))
+        .join(series_numbers(ts, series), series)
+        .select(series, "series_index", "n", "state", F.date_trunc(grain, F.col("ds")).cast("date").alias("d"))
     )
     state = cut_lineage(state)
     steps = []

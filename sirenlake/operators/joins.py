@@ -69,8 +69,8 @@ def standardise_census(raw: DataFrame, order: str | None = None) -> DataFrame:
     return df.groupBy(KEY).agg(first.alias("r")).select(KEY, *[f"r.{c}" for c in out])
 
 
-def join_demographics(dispatch: DataFrame, census: DataFrame, guard: bool = False) -> DataFrame:
-    """Left many-to-one join of a standardised census table; unmatched calls keep NULLs."""
+def join_demographics(dispatch: DataFrame, census: DataFrame, guard: bool = True) -> DataFrame:
+    """Left many-to-one join of a standardised census table; unmatched calls keep NULLs, a repeated key is an error."""
     source = KEY if KEY in dispatch.columns else "geoid"
     keyed = dispatch.withColumn(KEY, normalise_geoid(source))
     dim = many_to_one_guard(census, KEY) if guard else census

@@ -90,3 +90,15 @@ def test_importance_and_tuning(spark, learnable):
     assert importance[0].feature == "priority_code" and len(importance) == 9
     trials = classify.tune_classifier(learnable["train"], learnable["validation"], trials=2).collect()
     assert len(trials) == 2 and trials[0].macro_f1 >= trials[1].macro_f1 > 0.9
+
+
+def test_many_labels_and_categories(spark):
+    rows = 1200
+    df = spark.range(rows).select(
+        (F.col("id") % 120).cast("int").alias("label_code"),
+        *[F.concat(F.lit(c), (F.col("id") % 100).cast("string")).alias(c) for c in classify.CATEGORICAL],
+        *[(F.col("id") % (7 + i)).cast("int").alias(c) for i, c in enumerate(classify.NUMERIC)],
+    )
+    model = classify.train_classifier(df, numTrees=2, maxDepth=3)
+    assert model.stages[-1].numClasses == 120
+    assert classify.predict_confidence(model, df).count() == rows
