@@ -274,3 +274,52 @@ def test_group_names_do_not_decide(spark):
     free, bound = (toxicity.fit_toxicity(docs, labels, counterfactual=c) for c in (0.0, 50.0))
     assert bound.score_texts(neutral)[0] < 0.5 < free.score_texts(neutral)[0]
     assert bound.score_texts(["vile " + " ".join(filler[:6])])[0] > 0.5
+
+
+def word_edits(x, y):
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, b in enumerate(y, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
+    return row[-1]
+
+
+def line_similar(x, y, similarity=0.9):
+    most = lambda n: math.floor(n * (1 - similarity) + 1e-9)
+    edits = most(max(len(x), len(y)))
+    x, y = (x, y) if edits else (" ".join(x), " ".join(y))
+    return word_edits(x, y) <= most(max(len(x), len(y)))
+
+
+def test_every_similar_line_is_found(spark):
+    random.seed(12)
+    letters = "abcdefghij"
+    word = lambda: "".join(random.choices(letters, k=random.randint(2, 8)))
+    common = [word() for _ in range(30)]
+    lines = []
+    for size in [5, 6, 7, 8, 9, 9, 10, 11, 19, 20, 29, 30, 50, 99, 200] * 2:
+        base = [random.choice(common) if random.random() < 0.6 else word() for _ in range(size)]
+        lines.append(base)
+        for share in (0.05, 0.1, 0.1, 0.1, 0.13):
+            line = list(base)
+            for _ in range(max(1, int(size * share))):
+                i = random.randrange(len(line))
+                kind = random.randrange(4 if size > 9 else 5)
+                if kind == 1:
+                    line.insert(i, word())
+                elif kind == 2 and len(line) > 5:
+                    del line[i]
+                elif size > 9:
+                    line[i] = word()
+                else:
+                    line[i] = line[i][:-1] + random.choice(letters)
+            lines.append(line)
+    groups = Groups()
+    for i, x in enumerate(lines):
+        for j in range(i):
+            if line_similar(x, lines[j]):
+                groups.join(i, j)
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = {r["doc_id"] for r in line_dedup.dedup_lines(docs).collect() if r["_dropped"]}
+    assert got == {i for i in range(len(lines)) if groups.top(i) != i}
