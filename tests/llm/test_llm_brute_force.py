@@ -323,3 +323,13 @@ def test_every_similar_line_is_found(spark):
     docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
     got = {r["doc_id"] for r in line_dedup.dedup_lines(docs).collect() if r["_dropped"]}
     assert got == {i for i in range(len(lines)) if groups.top(i) != i}
+
+
+def test_lines_of_every_length_follow_one_rule(spark):
+    random.seed(13)
+    word = lambda: "".join(random.choices("abcdefghijklmnop", k=6))
+    bases = [[word() for _ in range(n)] for n in (4000, 4001, 34_000)]
+    changed = [[word() if i % 16 == 0 else w for i, w in enumerate(b)] for b in bases]
+    rows = [" ".join(b) for b in bases + changed] + ["the firehouse opens every monday", "the firehouse opens every mondaz", "天地玄黄宇宙洪荒日月", "天地玄黄，宇宙洪荒日月"]
+    got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).where("_dropped > 0").collect()
+    assert {r["doc_id"] for r in got} == {3, 4, 5, 7, 9}
