@@ -1,7 +1,7 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, sampled by Gumbel top-k.
 
-Words and pairs of words fall into buckets. The target model counts the buckets of labelled good documents
-(a bounded sample), the raw model those of all documents. A document's log weight is the sum over its
+Words and pairs of words fall into buckets. The target model counts the buckets of all labelled good
+documents, the raw model those of all documents. A document's log weight is the sum over its
 n-grams of the log ratio of the two models; adding seeded Gumbel noise and taking the k largest keys samples
 k documents without replacement in proportion to their weights.
 """
@@ -81,17 +81,16 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
 
 
 def resample(
-    docs: DataFrame, labels: DataFrame, share: float = 0.5, sample: int = 16000, buckets: int = BUCKETS, temperature: float = 1.0, seed: int = 11
+    docs: DataFrame, labels: DataFrame, share: float = 0.5, buckets: int = BUCKETS, temperature: float = 1.0, seed: int = 11
 ) -> DataFrame:
     """``doc_id``, ``log_weight``, ``gumbel_key``, ``selected`` per document.
 
-    The target is at most ``sample`` documents labelled as good, the first by a hash of ``doc_id``. Of n rows,
-    the ceil(n * share) with the largest keys are selected, and rows with a key equal to the last one's.
+    The target is all documents labelled as good. Of n rows, the ceil(n * share) with the largest keys are selected, and rows with a key equal to the last one's.
     NULL and empty texts weigh 0. Repeated rows have equal keys; NULL ids share one noise. Without good labels
     the weights are those of an empty target model. An empty table gives an empty result.
     """
-    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    ratio = log_ratio(bucket_counts(docs.join(F.broadcast(good), "doc_id", "left_semi"), buckets), bucket_counts(docs, buckets))
+    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    ratio = log_ratio(bucket_counts(docs.join(good, "doc_id", "left_semi"), buckets), bucket_counts(docs, buckets))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

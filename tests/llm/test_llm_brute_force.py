@@ -333,3 +333,9 @@ def test_lines_of_every_length_follow_one_rule(spark):
     rows = [" ".join(b) for b in bases + changed] + ["the firehouse opens every monday", "the firehouse opens every mondaz", "天地玄黄宇宙洪荒日月", "天地玄黄，宇宙洪荒日月"]
     got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).where("_dropped > 0").collect()
     assert {r["doc_id"] for r in got} == {3, 4, 5, 7, 9}
+
+
+def test_all_good_documents_are_the_target(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('word', id % 5000, ' other', id % 700) AS text")
+    rows = importance.resample(docs, docs.selectExpr("doc_id", "1 AS quality")).agg({"log_weight": "min"}).union(importance.resample(docs, docs.selectExpr("doc_id", "1 AS quality")).agg({"log_weight": "max"}))
+    assert [r[0] for r in rows.collect()] == pytest.approx([0, 0])
