@@ -339,3 +339,24 @@ def test_all_good_documents_are_the_target(spark):
     docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('word', id % 5000, ' other', id % 700) AS text")
     rows = importance.resample(docs, docs.selectExpr("doc_id", "1 AS quality")).agg({"log_weight": "min"}).union(importance.resample(docs, docs.selectExpr("doc_id", "1 AS quality")).agg({"log_weight": "max"}))
     assert [r[0] for r in rows.collect()] == pytest.approx([0, 0])
+
+
+def test_obfuscated_personal_data_is_added(spark):
+    random.seed(14)
+    n = lambda: random.randrange(1, 255)
+    rows, planted = [], {}
+    for i in range(400):
+        text = f"mail user{i}@host{i % 9}.example.com or {n()}.{n()}.{n()}.{n()} or call +1 202 555 0{100 + i} now; {n()}.{n()}.{300 + n()}.{n()} and 12-34-567"
+        if i % 20 == 0:
+            hidden = {"email": f"name{i} (at) host (dot) com", "ip": f"{n()}[.]{n()}[.]{n()}[.]{n()}", "phone": f"1 303 555 0{100 + i}"}
+            for kind, span in hidden.items():
+                text += " ; see "
+                planted.setdefault(i, set()).add(f"{kind}:{len(text)}:{len(text) + len(span)}")
+                text += span
+        rows.append((i, text))
+    got = {r["doc_id"]: set(r["spans"].split(",")) for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(len(planted[i] & got[i]) for i in planted) >= 0.9 * sum(map(len, planted.values()))
+    assert not any(pii_ip.search(rows[i][1][int(a) : int(b)]) for i in got for kind, a, b in (s.split(":") for s in got[i]) if kind == "ip")
+
+
+pii_ip = re.compile(r"(?<![0-9])(?:2[6-9]|25[6-9]|[3-9][0-9])[0-9](?![0-9])")
