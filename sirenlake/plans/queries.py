@@ -658,7 +658,7 @@ QUERIES: dict[str, Query] = {
     "assign_clusters": lambda s, d: K.assign_clusters(_clustered(s, d)),
     # text, documents, retrieval
     "html_visible_text": lambda s, d: X.table(s, d, "pages").select("page_id", T.html_visible_text("html").alias("text")),
-    "html_visible_text_exact": lambda s, d: X.table(s, d, "pages").select("page_id", T.html_visible_text("html").alias("text")),
+    "html_visible_text_exact": lambda s, d: X.table(s, d, "pages").select("page_id", T.html_visible_text("html", exact=True).alias("text")),
     "clean_text": lambda s, d: X.documents(s, d).select("doc_id", T.clean_text("text").alias("text")),
     "slugify": lambda s, d: X.documents(s, d).select("doc_id", T.slugify(F.concat_ws(" / ", "title", "text")).alias("slug")),
     "doc_quality": lambda s, d: T.doc_quality(X.documents(s, d)).select("doc_id", "chars", "alpha_ratio", "readable_ratio", "passes"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sirenlake.operators import text
 from sirenlake.plans import fixtures
+from sirenlake.plans.queries import QUERIES
 
 GOOD = "The patient was found on the floor and taken to the hospital by the crew of the second ambulance. " * 2
 
@@ -133,3 +134,8 @@ def test_paragraphs_are_packed(spark):
     body = "\n\n".join("p" * n for n in (300, 300, 300, 100, 950, 10)) + "\n \n"
     got = frame(spark, body, "").orderBy("doc_id").select(text.paragraph_pack("text")).collect()
     assert [[len(p) for p in r[0]] for r in got] == [[602, 402, 950, 10], []]
+
+
+def test_exact_visible_text_resolves_all_references(spark, tmp_path):
+    spark.createDataFrame([(1, "<p>caf&eacute; &#8217;n&#x2019; &lt;b&gt; &Aacute;</p>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert QUERIES["html_visible_text_exact"](spark, str(tmp_path)).first()["text"] == "café ’n’ <b> Á"
