@@ -58,4 +58,25 @@ SELECT doc_id, size, source_size, target,
 FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
 """
 
-LLM_ORACLES: dict[str, str] = {"op6_url_reputation": OP6, "op10_source_mix": OP10}
+OP12 = r"""
+WITH docs AS (SELECT row_number() OVER () AS row_no, doc_id, text FROM documents),
+words AS (
+  SELECT row_no, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+tf AS (SELECT row_no, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT row_no, sum(tf)::BIGINT AS n FROM tf GROUP BY row_no),
+corpus AS (SELECT count(*) AS nd, sum(n)::BIGINT AS total FROM lengths),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+weighed AS (SELECT item_id, term, floor(1000 * ln((2 * nd + 2) / (2 * df + 1)))::BIGINT AS w FROM asked JOIN df USING (term), corpus),
+scored AS (
+  SELECT item_id, row_no, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // total))))::BIGINT AS score
+  FROM weighed JOIN tf USING (term) JOIN lengths USING (row_no), corpus GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+LLM_ORACLES: dict[str, str] = {"op6_url_reputation": OP6, "op10_source_mix": OP10, "op12_max_sketch_search": OP12}

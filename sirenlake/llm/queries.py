@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bm25_search, embedding_dedup, importance, line_dedup, minhash_dedup, mixing, pii, sentencepiece_scan, toxicity, url_filter
+from . import bm25_search, bpe, embedding_dedup, importance, line_dedup, max_sketch_search, minhash_dedup, mixing, pii, run_detection, sentencepiece_scan, toxicity, url_filter
 
+TOKENIZER_FILE = os.environ.get("BPE_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
 MODEL_FILE = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,4 +70,34 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.plan_mix(_table(spark, sf_dir, "documents")))
 
 
-LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_importance_resampling, op3_bm25_search, op4_line_dedup, op5_sentencepiece, op6_url_reputation, op7_pii_spans, op8_embedding_dedup, op9_minhash_dedup, op10_source_mix)}
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of the tokens of every text, and the digest of what they decode to."""
+    return bpe.token_digests(_table(spark, sf_dir, "documents"), bpe.load_bpe(TOKENIZER_FILE))
+
+
+def op12_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best documents for every benchmark item."""
+    found = max_sketch_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_detection.detect_runs(_table(spark, sf_dir, "documents"), tail=True)
+
+
+OPERATORS: tuple[Query, ...] = (
+    op1_toxicity,
+    op2_importance_resampling,
+    op3_bm25_search,
+    op4_line_dedup,
+    op5_sentencepiece,
+    op6_url_reputation,
+    op7_pii_spans,
+    op8_embedding_dedup,
+    op9_minhash_dedup,
+    op10_source_mix,
+    op11_bpe,
+    op12_max_sketch_search,
+    op13_periodic_runs,
+)
+LLM_QUERIES: dict[str, Query] = {f.__name__: f for f in OPERATORS}

@@ -17,11 +17,14 @@ COLUMNS = {
     "op8_embedding_dedup": {"vec_id", "n_links", "component_id", "kept"},
     "op9_minhash_dedup": {"doc_id", "n_shingles", "component_id", "kept"},
     "op10_source_mix": {"doc_id", "size", "source_size", "target", "taken"},
+    "op11_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    "op12_max_sketch_search": {"item_id", "rank", "doc_id", "score"},
+    "op13_periodic_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
 }
 
 
 def test_one_query_per_operator():
-    assert [int(re.match(r"op(\d+)_", k)[1]) for k in LLM_QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", k)[1]) for k in LLM_QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("key", sorted(COLUMNS))
@@ -32,7 +35,7 @@ def test_columns(spark, key):
 @pytest.mark.parametrize("key", sorted(LLM_ORACLES))
 def test_same_as_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = LLM_QUERIES[key](spark, SF).toArrow()
     names = sorted(got.column_names)
