@@ -8,7 +8,7 @@ neighbours and queues the two new pairs, so a word of n bytes takes n log n step
 strings, with blanks between them as no decoder is named in the file.
 
 Letters and their cases are those of the Unicode version of Python and of the ``regex`` package.
-Workers remember the chunks they have solved (MEMORY of them, none longer than SHORT); this saves time only.
+Workers remember the chunks and words they have solved (MEMORY of each, none longer than SHORT); this saves time only.
 """
 
 from __future__ import annotations
@@ -45,6 +45,13 @@ def byte_letters() -> list[str]:
     return [letter[b] for b in range(256)]
 
 
+def _remember(memory: dict, key: str, value: list[int] | bytes) -> None:
+    if len(key) <= SHORT:
+        if len(memory) >= MEMORY:
+            memory.clear()
+        memory[key] = value
+
+
 class Bpe:
     """Vocabulary and merges of a byte-level BPE file with marked word ends."""
 
@@ -69,6 +76,7 @@ class Bpe:
     def _ready(self) -> None:
         if not hasattr(self, "_solved"):
             self._solved: dict[str, bytes] = {}
+            self._merged: dict[str, list[int]] = {}
             self._words = regex.compile(WORDS.replace(r"\s", WHITE[1:-2]))
             self._white = re.compile(WHITE)
             self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -113,12 +121,12 @@ class Bpe:
                 continue
             # characters are lower-cased one by one, so a sigma at the end of a word is like any other
             for word in self._words.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()):
-                ids += self.merge(word.encode())
+                if (merged := self._merged.get(word)) is None:
+                    merged = self.merge(word.encode())
+                    _remember(self._merged, word, merged)
+                ids += merged
         packed = np.array(ids, "<u4").tobytes()
-        if len(chunk) <= SHORT:
-            if len(self._solved) >= MEMORY:
-                self._solved.clear()
-            self._solved[chunk] = packed
+        _remember(self._solved, chunk, packed)
         return packed
 
     def encode(self, text: str) -> bytes:

@@ -76,8 +76,9 @@ def test_bpe_memory_is_bounded(model, monkeypatch):
     monkeypatch.setattr(bpe, "MEMORY", 10)
     text = " ".join(f"word{i % 37}" for i in range(400))
     assert np.frombuffer(model.encode(text), "<u4").tolist() == reference_tokens([text])[0][0]
-    assert len(model._solved) <= 10
+    assert len(model._solved) <= 10 and len(model._merged) <= 10
     model._solved.clear()
+    model._merged.clear()
 
 
 def test_bpe_columns_and_edges(spark, edge, model):
