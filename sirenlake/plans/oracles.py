@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from .views import (
     QUALITY,
     chunk_reasons,
@@ -126,6 +128,49 @@ def html_oracle() -> str:
     )
 
 
+# The references of the HTML standard as a table of quoted names and texts.
+REFERENCES = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')" for name, text in html5.items())
+OPEN_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+VOID = "n BETWEEN 1 AND 8 OR n = 11 OR n BETWEEN 14 AND 31 OR n = 127 OR n BETWEEN 64976 AND 65007 OR n & 65534 = 65534"
+WINDOWS = "[" + ", ".join("'" + (bytes([b]).decode("cp1252", "ignore") or chr(b)).replace("'", "''") + "'" for b in range(128, 160)) + "]"
+
+
+def resolved(step: int, source: str) -> str:
+    """CTE ``text<step>`` (id, t): the texts ``source`` (id, t) with all character references resolved."""
+    digits = "regexp_extract(m, '^#[xX]?0*([0-9a-fA-F]*)', 1)"
+    return f"""piece{step} AS (SELECT id, unnest(string_split(t, '&')) AS p, generate_subscripts(string_split(t, '&'), 1) AS i FROM {source}),
+found{step} AS (SELECT *, CASE WHEN i = 1 THEN '' ELSE regexp_extract(p, '^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{{1,32}};?)', 1) END AS m FROM piece{step}),
+number{step} AS (
+  SELECT *, regexp_extract(m, '^(?:{OPEN_NAMES})') AS stem, substr(p, length(m) + 1) AS rest,
+    CASE WHEN m NOT LIKE '#%' THEN NULL WHEN length({digits}) > 7 THEN 2097152 WHEN {digits} = '' THEN 0
+      WHEN m ILIKE '#x%' THEN CAST('0x' || {digits} AS BIGINT) ELSE CAST({digits} AS BIGINT) END AS n FROM found{step}),
+solved{step} AS (
+  SELECT id, i, CASE WHEN i = 1 THEN p WHEN m = '' THEN '&' || p
+    WHEN n IS NOT NULL THEN CASE WHEN n = 0 OR n BETWEEN 55296 AND 57343 OR n > 1114111 THEN chr(65533) WHEN n BETWEEN 128 AND 159 THEN {WINDOWS}[n - 127]
+      WHEN {VOID} THEN '' ELSE chr(CAST(n AS INTEGER)) END || rest
+    WHEN w.text IS NOT NULL THEN w.text || rest
+    WHEN stem <> '' THEN o.text || substr(m, length(stem) + 1) || rest ELSE '&' || p END AS x
+  FROM number{step} LEFT JOIN refs w ON w.name = m LEFT JOIN refs o ON o.name = stem),
+text{step} AS (SELECT id, string_agg(x, '' ORDER BY i) AS t FROM solved{step} GROUP BY id)"""
+
+
+def exact_html_oracle() -> str:
+    return (
+        f"WITH refs(name, text) AS (VALUES {REFERENCES}), text0 AS (SELECT page_id AS id, {_html('html')} AS t FROM pages), {resolved(1, 'text0')}, {resolved(2, 'text1')} "
+        f"SELECT id AS page_id, {tidy_space('t')} AS text FROM text2"
+    )
+
+
+def references_oracle() -> str:
+    """References made from the ids of the pages: named with and without semicolon, decimal and hexadecimal ones."""
+    names = "[" + ", ".join(f"'{n}'" for n in sorted(html5)) + "]"
+    raw = (
+        f"'&' || {names}[CAST(page_id * 7 % {len(html5)} AS INTEGER) + 1] || ' &' || rtrim({names}[CAST(page_id * 11 % {len(html5)} AS INTEGER) + 1], ';') || page_id || "
+        "' &#' || page_id || ' &#x' || upper(to_hex(page_id * 977)) || ';&#0' || (page_id + 55200) || ';&# &; &#xg && &amp;lt;'"
+    )
+    return f"WITH refs(name, text) AS (VALUES {REFERENCES}), text0 AS (SELECT page_id AS id, {raw} AS t FROM pages), {resolved(1, 'text0')} SELECT id AS page_id, t AS text FROM text1"
+
+
 P = text_parts("text")
 B = text_parts("t")
 
@@ -438,7 +483,8 @@ ORACLES: dict[str, str] = {
         FROM (SELECT regexp_matches(priority_code, 'E1|F1') AS high, row_number() OVER (ORDER BY {r('anomaly_score', 6)}, md5('42|' || incident_id)) AS rk, count(*) OVER () AS n FROM scored)""", "scored"),
     # text
     "html_visible_text": html_oracle(),
-    "html_visible_text_exact": html_oracle(),
+    "html_visible_text_exact": exact_html_oracle(),
+    "character_references": references_oracle(),
     "paragraph_pack": sql("""+ parts AS (SELECT doc_id, list_filter(list_transform(string_split_regex(text, '\\n\\s*\\n'), lambda p: trim(p, ' ' || chr(9) || chr(10) || chr(13))), lambda p: p <> '') AS p FROM docs),
         packs AS (SELECT doc_id, list_reduce(list_transform(p, lambda x: [x]), lambda acc, x: CASE WHEN length(acc[-1]) + 2 + length(x[1]) <= 900
           THEN list_concat(acc[:-2], [acc[-1] || chr(10) || chr(10) || x[1]]) ELSE list_concat(acc, x) END) AS packs FROM parts WHERE len(p) > 0)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -433,6 +435,18 @@ def isolation_forest_score(s, d):
 # Text and retrieval
 
 
+def character_references(s, d):
+    """References made from the ids of the pages, resolved."""
+    names = F.from_json(F.lit(json.dumps(sorted(html5))), "array<string>")
+    name = lambda k: F.get(names, (F.col("page_id") * k % len(html5)).cast("int"))
+    number = F.col("page_id").cast("string")
+    raw = F.concat(
+        F.lit("&"), name(7), F.lit(" &"), F.rtrim(name(11), F.lit(";")), number, F.lit(" &#"), number, F.lit(" &#x"), F.hex(F.col("page_id") * 977),
+        F.lit(";&#0"), (F.col("page_id") + 55200).cast("string"), F.lit(";&# &; &#xg && &amp;lt;"),
+    )
+    return X.table(s, d, "pages").select("page_id", T.unescape(raw, exact=True).alias("text"))
+
+
 def build_chunks(s, d):
     return T.build_chunks(X.doc_lines(s, d), "pieces", keep=["doc_id"])
 
@@ -658,6 +672,7 @@ QUERIES: dict[str, Query] = {
     "assign_clusters": lambda s, d: K.assign_clusters(_clustered(s, d)),
     # text, documents, retrieval
     "html_visible_text": lambda s, d: X.table(s, d, "pages").select("page_id", T.html_visible_text("html").alias("text")),
+    "character_references": character_references,
     "html_visible_text_exact": lambda s, d: X.table(s, d, "pages").select("page_id", T.html_visible_text("html", exact=True).alias("text")),
     "clean_text": lambda s, d: X.documents(s, d).select("doc_id", T.clean_text("text").alias("text")),
     "slugify": lambda s, d: X.documents(s, d).select("doc_id", T.slugify(F.concat_ws(" / ", "title", "text")).alias("slug")),

@@ -1,5 +1,8 @@
+import html
 import random
 import re
+import time
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +142,44 @@ def test_paragraphs_are_packed(spark):
 def test_exact_visible_text_resolves_all_references(spark, tmp_path):
     spark.createDataFrame([(1, "<p>caf&eacute; &#8217;n&#x2019; &lt;b&gt; &Aacute;</p>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert QUERIES["html_visible_text_exact"](spark, str(tmp_path)).first()["text"] == "café ’n’ <b> Á"
+
+
+def test_all_references_of_the_standard(spark):
+    rng = random.Random(3)
+    texts = [f"&{n}{rng.choice(['', 'x', ';', ' '])}" for n in html5] + [f"&{n.rstrip(';')}{rng.choice(['abc', '1'])}" for n in html5]
+    numbers = [*range(300), 0xD800, 0xFDD0, 0xFFFE, 0x1FFFF, 0x10FFFF, 0x110000, 10**8, 10**30, 8217, 128512]
+    texts += [f"&#{n}{end}" for n in numbers for end in ("", ";", "x")] + [f"&#x{n:x}{end}" for n in numbers for end in ("", ";")]
+    texts += ["&#00000000065;", "&", "&&", "&;", "&#;", "&#x;", "a&amp;&amp;lt;b&notit;&notin;", ""]
+    parts = ["&", "#", "x", "amp", "lt", ";", "1", "9", "z", " ", "not", "it", "é", "\U0001f600"]
+    texts += ["".join(rng.choices(parts, k=9)) for _ in range(2000)]
+    got = {r.doc_id: r.t for r in frame(spark, *texts).select("doc_id", text.unescape("text", exact=True).alias("t")).collect()}
+    assert [got[i] for i in range(len(texts))] == [html.unescape(t) for t in texts]
+    assert frame(spark, None).select(text.unescape("text", exact=True)).first()[0] is None
+
+
+@pytest.mark.parametrize("unit", ["x", "Ab cd ef. " * 13 + "y" * 800])
+def test_chunking_time_grows_with_the_text(spark, unit):
+    """Twice the paragraph takes at most 2.5 times the time; several copies make the time measurable."""
+
+    def seconds(n):
+        body = (unit * (n // len(unit) + 1))[:n]
+        df = spark.createDataFrame([(body,)] * 4, "text string").coalesce(1)
+        best = 1e9
+        for _ in range(3):
+            start = time.perf_counter()
+            got = df.select(text.chunk_text("text").alias("c")).collect()
+            best = min(best, time.perf_counter() - start)
+        assert got[0].c == packed(body, 900, 150)
+        return best
+
+    seconds(1000)
+    short, long = seconds(100_000), seconds(200_000)
+    assert long <= 2.5 * short + 0.5
+
+
+def test_a_paragraph_of_a_million_characters(spark):
+    body = "No blank line here, just words. " * 31_250
+    start = time.perf_counter()
+    got = frame(spark, body).select(text.chunk_text("text").alias("c")).first().c
+    assert time.perf_counter() - start < 30
+    assert got == packed(body, 900, 150)
