@@ -14,6 +14,7 @@ from ..functions.semantics import round_even, unnest
 from ..functions.session import cut_lineage, scratch_path
 from ..operators import aggregates as A
 from ..operators import anomaly as N
+from ..operators import boosting
 from ..operators import classify as C
 from ..operators import clean as P
 from ..operators import features as W
@@ -349,6 +350,14 @@ def train_classifier(s, d):
     return C.rounded_class_metrics(C.confusion_long(scored, "label_code", "predicted_code"))
 
 
+def boosted_classifier(s, d):
+    """Metrics by class of boosted trees that stop early by the validation rows."""
+    train, validation, test = _modelled(s, d)
+    model = boosting.fit_boosted(train, validation, balanced=True, rounds=12, depth=4, rate=0.3, patience=3)
+    scored = C.predict_confidence(model, test)
+    return C.rounded_class_metrics(C.confusion_long(scored, "label_code", "predicted_code"))
+
+
 def tune_classifier(s, d):
     train, validation, _ = _modelled(s, d)
     return C.tune_classifier(train, validation, trials=2)
@@ -642,6 +651,7 @@ QUERIES: dict[str, Query] = {
     "fit_eval_split": lambda s, d: D.fit_eval_split(P.drop_null_subset(X.dispatch(s, d), ["longitude", "latitude"]), ["incident_id"]).select("incident_id", "split"),
     "feature_prep": feature_prep,
     "train_classifier": train_classifier,
+    "boosted_classifier": boosted_classifier,
     "tune_classifier": tune_classifier,
     "predict_confidence": predict_confidence,
     "flag_disagreements": lambda s, d: _flagged(s, d).select("rid", "is_disagreement"),
