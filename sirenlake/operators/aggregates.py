@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranking import interpolate, interpolated_ranks, order_statistics
+from ..functions.ranking import interpolate, interpolated_ranks, order_statistics, range_rank
 from ..functions.semantics import count_where, drop_null_keys, ratio, round_even, strip
 from .clean import PRIORITY_LEVELS, blank_to_unknown, priority_level, quarter_label, with_flags
 from .joins import join_stats_back, semi_top_n
@@ -109,6 +109,33 @@ def geo_call_type_cbg_agg(fact: DataFrame, exact: bool = True) -> DataFrame:
     )
 
 
+# Distinct counts that can be formed again at any level: block groups as bits
+
+
+def block_group_positions(fact: DataFrame) -> DataFrame:
+    """A dense number from 1 on for every block group, in alphabetical order."""
+    known = fact.select("census_block_group").where(F.col("census_block_group").isNotNull()).distinct()
+    return range_rank(known, [], ["census_block_group"], "position")
+
+
+def geo_bitmap_agg(fact: DataFrame, positions: DataFrame) -> DataFrame:
+    """Per (year, service, call type) and bucket of positions: calls, and the block groups as a bitmap.
+
+    Calls without a block group, or with one that ``positions`` does not know, have a NULL bucket and no bits.
+    """
+    keys = ["year", "service", "call_type"]
+    placed = drop_null_keys(prepared(fact), *keys).join(positions, "census_block_group", "left")
+    bucket, bit = F.bitmap_bucket_number("position"), F.bitmap_bit_position("position")
+    return placed.groupBy(*keys, bucket.alias("bucket")).agg(F.count("*").alias("calls"), F.bitmap_construct_agg(bit).alias("block_groups"))
+
+
+def distinct_block_groups(bitmaps: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Calls and exact distinct block groups per ``keys`` of any selection of rows of ``geo_bitmap_agg``."""
+    merged = bitmaps.groupBy(*keys, "bucket").agg(F.sum("calls").alias("calls"), F.bitmap_or_agg("block_groups").alias("block_groups"))
+    bits = F.when(F.col("bucket").isNotNull(), F.bitmap_count("block_groups")).otherwise(0)
+    return merged.groupBy(*keys).agg(F.coalesce(F.sum("calls"), F.lit(0)).alias("total_calls"), F.coalesce(F.sum(bits), F.lit(0)).alias("unique_cbg_count"))
+
+
 # Overview reports (input: overview_agg)
 
 

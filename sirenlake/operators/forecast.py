@@ -285,21 +285,41 @@ def walk_forward_cv(
 ) -> DataFrame:
     """Rolling-origin error per series and cutoff.
 
-    Cutoffs go back from (last - horizon) in steps while enough history remains. Each row is sent
-    to the folds it trains or tests; the number of folds depends on the calendar only.
+    Cutoffs go back from (last - horizon) in steps while enough history remains. Rows are summed once per
+    stretch between two cutoffs; the normal equations of a cutoff are the sums of all stretches up to it. The
+    errors of a row under the few cutoffs whose horizon it lies in are summed per stretch, too, so rows are
+    never multiplied, however many cutoffs there are.
     """
-    day = lambda n: F.make_dt_interval(F.lit(n))
+    newest = (F.col("b") - F.make_dt_interval(F.lit(horizon_days))).cast("date")
     ends = ts.groupBy(series).agg(F.min("ds").alias("a"), F.max("ds").alias("b"))
-    newest = F.col("b") - day(horizon_days)
-    count = F.floor((F.datediff(newest, F.col("a")) - initial_days) / step_days)
-    folds = ends.where(count >= 0).select(
-        series, F.explode(F.transform(F.sequence(F.lit(0), count), lambda i: F.date_sub(newest.cast("date"), (i * step_days).cast("int")))).alias("cutoff")
+    bounds = ends.select(series, newest.alias("newest"), F.floor((F.datediff(newest, F.col("a")) - initial_days) / step_days).alias("oldest")).where("oldest >= 0")
+    numbered = ts.withColumn("t", F.row_number().over(Window.partitionBy(series).orderBy("ds")) - 1)
+    back = F.datediff("newest", F.to_date("ds"))
+    rows = numbered.join(bounds, series).withColumns({"stretch": F.floor(back / step_days), "last": F.floor((back + horizon_days) / step_days)})
+
+    x = _design(F.col("t"), F.quarter("ds"))
+    terms = [a * b for a in x for b in x] + [a * F.col("y") for a in x]
+    moments = (
+        rows.where("stretch >= 0")
+        .groupBy(series, F.least("stretch", "oldest").alias("fold"))
+        .agg(*[F.sum(term).alias(f"m{i}") for i, term in enumerate(terms)])
     )
-    rows = ts.join(folds, series)
-    fitted = fit_trend_season(rows.where(F.to_date("ds") <= F.col("cutoff")), [series, "cutoff"])
-    limit = F.date_add("cutoff", horizon_days)
-    later = rows.where((F.to_date("ds") > F.col("cutoff")) & (F.to_date("ds") <= limit))
-    w = Window.partitionBy(series, "cutoff").orderBy("ds")
-    tested = later.withColumn("step", F.row_number().over(w)).join(fitted, [series, "cutoff"])
-    yhat = _predict(F.col("beta"), F.col("n") + F.col("step") - 1, F.quarter("ds"))
-    return mape(tested.withColumn("yhat", yhat), keys=[series, "cutoff"])
+    folds = bounds.select(series, F.explode(F.sequence(F.lit(0).cast("bigint"), "oldest")).alias("fold"))
+    earlier = Window.partitionBy(series).orderBy(F.desc("fold")).rowsBetween(Window.unboundedPreceding, 0)
+    upto = [F.coalesce(F.sum(f"m{i}").over(earlier), F.lit(0.0)) for i in range(len(terms))]
+    sums = folds.join(moments, [series, "fold"], "left").select(series, "fold", F.array(*upto[:16]).alias("xx"), F.array(*upto[16:]).alias("xy"))
+    fitted = sums.mapInPandas(_solve, f"`{series}` {ts.schema[series].dataType.simpleString()}, fold bigint, beta array<double>")
+    of_series = fitted.groupBy(series).agg(F.map_from_entries(F.collect_list(F.struct("fold", "beta"))).alias("betas"))
+
+    measures = []
+    for j in range(math.ceil(horizon_days / step_days)):
+        fold = F.col("stretch") + 1 + j
+        tested = (fold >= 0) & (fold <= F.least("last", "oldest"))
+        yhat = _predict(F.element_at("betas", fold), F.col("t"), F.quarter("ds"))
+        error = F.when(tested, F.abs(ratio(F.col("y") - yhat, F.col("y"))))
+        measures += [F.sum(error).alias(f"e{j}"), F.count(error).alias(f"k{j}"), F.count_if(tested).alias(f"n{j}")]
+    per_stretch = rows.join(of_series, series).groupBy(series, "newest", "stretch").agg(*measures)
+    parts = F.array(*[F.struct((F.col("stretch") + 1 + j).alias("fold"), F.col(f"e{j}").alias("e"), F.col(f"k{j}").alias("k"), F.col(f"n{j}").alias("n")) for j in range(len(measures) // 3)])
+    per_fold = per_stretch.select(series, "newest", F.inline(parts)).where("n > 0").groupBy(series, "newest", "fold").agg(F.sum("e").alias("e"), F.sum("k").alias("k"), F.sum("n").alias("n_rows"))
+    cutoff = F.date_sub("newest", (F.col("fold") * step_days).cast("int"))
+    return per_fold.select(series, cutoff.alias("cutoff"), round_even(ratio(F.col("e"), F.col("k")), 6).alias("mape"), "n_rows")

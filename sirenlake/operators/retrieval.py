@@ -112,17 +112,21 @@ def vector_topk(queries: DataFrame, vectors: DataFrame, query_id: str, vec_id: s
     """Exact ``k`` nearest vectors per query by squared Euclidean distance.
 
     The batch of queries is packed into array values of at most ``batch`` queries, so a vector
-    row meets it without a join of rows. A bigger set of queries is simply more packs. The rank
-    filter lets every task keep its own top ``k`` before anything is shuffled.
+    row meets it without a join of rows. A bigger set of queries is simply more packs. Vectors are dealt
+    to blocks that each meet all packs, so no key holds more than a block. The rank filter lets every task
+    keep its own top ``k`` before anything is shuffled.
     """
+    blocks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packs = queries.groupBy(F.pmod(F.xxhash64(query_id), F.greatest(F.lit(1), F.ceil(queries.agg(F.count("*")).scalar() / batch))).alias("pack")).agg(
         F.collect_list(F.struct(F.col(query_id).alias("query_id"), F.col(embedding).alias("q"))).alias("batch")
     )
     n_packs = packs.agg(F.max("pack")).scalar()
-    candidates = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("v")).withColumn(
+    block = F.pmod(F.xxhash64(vec_id), F.lit(blocks)).alias("block")
+    candidates = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("v"), block).withColumn(
         "pack", F.explode(F.sequence(F.lit(0).cast("bigint"), n_packs))
     )
-    pairs = candidates.join(packs, "pack").select("vec_id", "v", F.explode("batch").alias("b")).select(
+    packs = packs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    pairs = candidates.join(packs, ["pack", "block"]).select("vec_id", "v", F.explode("batch").alias("b")).select(
         "b.query_id", "vec_id", squared_l2(F.col("b.q"), F.col("v")).alias("distance")
     )
     best = Window.partitionBy("query_id").orderBy("distance", "vec_id")

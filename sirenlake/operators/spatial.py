@@ -12,9 +12,10 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ranking import range_rank
 from ..functions.session import cut_lineage
 
 REACH = 2  # cells of side eps / sqrt(2) can only touch within two steps
@@ -217,9 +218,7 @@ def dbscan(points: DataFrame, eps: float, min_samples: int, key: str, x: str = "
     edges = near.where((F.col("ax") != F.col("bx")) | (F.col("ay") != F.col("by"))).distinct()
     edges = cut_lineage(edges.join(name("a"), ["ax", "ay"]).join(name("b"), ["bx", "by"]).select("a", "b"))
     labels = _connected(cells, edges)
-    numbers = labels.select("label").distinct().withColumn(
-        "cluster", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("label")) - 1).cast("int")
-    )
+    numbers = range_rank(labels.select("label").distinct(), [], ["label"], "cluster").withColumn("cluster", (F.col("cluster") - 1).cast("int"))
     per_cell = cells.join(labels, "v").join(numbers, "label").select("cx", "cy", "cluster")
     core_label = core.join(per_cell, ["cx", "cy"]).select("x", "y", "cx", "cy", "cluster")
     border = close(flagged.where(~F.col("core")), core_label).groupBy("x", "y").agg(F.min("cluster").alias("cluster"))

@@ -288,6 +288,10 @@ ORACLES: dict[str, str] = {
     "temporal_slope_agg": sql("SELECT * FROM slope", "slope"),
     "geo_density_agg": sql(f"SELECT year, service, call_type, census_block_group, call_count, {r('latitude', 6)} AS latitude, {r('longitude', 6)} AS longitude FROM density", "density"),
     "geo_city_agg": sql(f"SELECT year, service, city_name, call_count, {r('completeness_sum', 6)} AS completeness_sum, completeness_count FROM city", "city"),
+    "geo_bitmap_distinct": sql("""
+        SELECT service, CAST(NULL AS INTEGER) AS year, count(*) AS total_calls, count(DISTINCT census_block_group) AS unique_cbg_count FROM prepared GROUP BY 1
+        UNION ALL SELECT NULL, CAST(year AS INTEGER), count(*), count(DISTINCT census_block_group) FROM prepared GROUP BY 2
+        UNION ALL SELECT 'EMS since', 1995, count(*), count(DISTINCT census_block_group) FROM prepared WHERE service = 'EMS' AND year >= 1995""", "prepared"),
     "geo_call_type_cbg_agg": sql("SELECT * FROM types", "types"),
     "kpi_totals": sql(f"""
         SELECT {bigint('sum(n)')} AS total_calls, {bigint('sum(ems)')} AS ems_calls, {bigint('sum(fire)')} AS fire_calls, count(*) AS quarters,
@@ -549,3 +553,5 @@ ORACLES: dict[str, str] = {
           AND (SELECT p50 <= 3 AND p95 <= 8 FROM latency_stats) AS all_pass""", "precision", "judged", "latency_stats"),
     "metadata_match": sql("SELECT query_id, rank, array_to_string(candidate_ids, ',') AS candidate_ids FROM candidates", "candidates"),
 }
+
+ORACLES["vector_index_search"] = ORACLES["vector_topk"]  # the index finds what the full scan finds

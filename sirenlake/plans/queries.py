@@ -26,6 +26,7 @@ from ..operators import retrieval as R
 from ..operators import spatial as K
 from ..operators import splits as D
 from ..operators import text as T
+from ..operators import vector_index
 from ..sources import readers, writers
 from . import fixtures as X
 
@@ -323,6 +324,19 @@ def mape(s, d):
 # Classifier
 
 
+def geo_bitmap_distinct(s, d):
+    """Exact distinct block groups of selections that no row of the aggregate holds on its own."""
+    fact = X.dispatch(s, d)
+    path = scratch_path(s, "bitmaps")
+    A.geo_bitmap_agg(fact, A.block_group_positions(fact)).write.parquet(path)
+    bitmaps = s.read.parquet(path)
+    null = lambda t: F.lit(None).cast(t)
+    by_service = A.distinct_block_groups(bitmaps, ["service"]).select("service", null("int").alias("year"), "total_calls", "unique_cbg_count")
+    by_year = A.distinct_block_groups(bitmaps, ["year"]).select(null("string").alias("service"), F.col("year").cast("int"), "total_calls", "unique_cbg_count")
+    some = A.distinct_block_groups(bitmaps.where("service = 'EMS' AND year >= 1995")).select(F.lit("EMS since").alias("service"), F.lit(1995).alias("year"), "total_calls", "unique_cbg_count")
+    return by_service.unionByName(by_year).unionByName(some)
+
+
 def classifier_frame(s, d):
     return D.classifier_frame(X.dispatch(s, d), ["incident_id"]).select("incident_id", "call_type", "label_code", "quarter", "city_code")
 
@@ -481,6 +495,12 @@ def vector_topk_lsh(s, d):
     return rounded(R.vector_topk_lsh(X.query_vectors(s, d), X.table(s, d, "embeddings"), "label", "vec_id"), "distance")
 
 
+def vector_index_search(s, d):
+    """The exact search over a freshly written index."""
+    index = vector_index.build_index(X.table(s, d, "embeddings"), "vec_id", scratch_path(s, "index"))
+    return rounded(index.search(X.query_vectors(s, d), "label", exact=True), "distance")
+
+
 def strip_markers(s, d):
     marked = F.concat_ws(" ", "title", F.concat(F.lit("[Source: "), "file_name", F.lit("; chunk: "), "chunk_index", F.lit("]")), "category", F.lit("[source:]"))
     return X.retrieved(s, d).select("chunk_id", R.strip_markers(marked).alias("answer"))
@@ -590,6 +610,7 @@ QUERIES: dict[str, Query] = {
     "temporal_slope_agg": lambda s, d: A.temporal_slope_agg(X.dispatch(s, d)),
     "geo_density_agg": lambda s, d: rounded(_density(s, d), "latitude", "longitude"),
     "geo_city_agg": lambda s, d: rounded(_city(s, d), "completeness_sum"),
+    "geo_bitmap_distinct": geo_bitmap_distinct,
     "geo_call_type_cbg_agg": lambda s, d: A.geo_call_type_cbg_agg(X.dispatch(s, d)),
     "kpi_totals": lambda s, d: rounded(A.kpi_totals(_overview(s, d)), "avg_per_quarter"),
     "service_share": lambda s, d: A.count_by(_overview(s, d), ["service"], measure="call_count"),
@@ -697,6 +718,7 @@ QUERIES: dict[str, Query] = {
     "keyword_rank": keyword_rank,
     "vector_topk": vector_topk,
     "vector_topk_lsh": vector_topk_lsh,
+    "vector_index_search": vector_index_search,
     "store_integrity": lambda s, d: R.store_integrity(X.table(s, d, "embeddings"), "vec_id"),
     "dedupe_citations": lambda s, d: R.dedupe_citations(X.retrieved(s, d)).drop("category", "text"),
     "snippet": lambda s, d: X.documents(s, d).select("doc_id", R.snippet("text").alias("snippet")),

@@ -101,3 +101,31 @@ def test_out_of_fold_encoding_never_sees_the_own_fold(spark):
     df = spark.createDataFrame([("k", 0, 1.0), ("k", 0, 3.0), ("k", 1, 10.0), ("m", 0, 5.0)], "g string, fold int, y double")
     got = {(r.g, r.fold): r.g_target_enc for r in features.geo_target_encoding_out_of_fold(df, "g", "y", "fold").collect()}
     assert got == {("k", 0): 10.0, ("k", 1): 2.0, ("m", 0): None}
+
+
+def test_walk_forward_errors_equal_separate_fits(spark):
+    rng = np.random.default_rng(4)
+    data = {k: 50 + 3 * np.arange(n) + 8 * rng.standard_normal(n) for k, n in (("a", 40), ("b", 23), ("c", 13))}
+    data["a"][20] = 0.0  # no relative error
+    got = {(r.series_id, r.cutoff): (r.mape, r.n_rows) for r in forecast.walk_forward_cv(series(spark, **data), horizon_days=500).collect()}
+    want = {}
+    for k, y in data.items():
+        days = [dt.date(2010 + i // 4, 3 * (i % 4) + 1, 1) for i in range(len(y))]
+        angle = [2 * np.pi * (i % 4 + 1) / 4 for i in range(len(y))]
+        x = np.array([[1, i, np.sin(a), np.cos(a)] for i, a in enumerate(angle)])
+        cutoff = days[-1] - dt.timedelta(500)
+        while (cutoff - days[0]).days >= 730:
+            n = sum(d <= cutoff for d in days)
+            beta = np.linalg.lstsq(x[:n], y[:n], rcond=None)[0]
+            tested = [i for i, d in enumerate(days) if cutoff < d <= cutoff + dt.timedelta(500)]
+            errors = [abs((y[i] - x[i] @ beta) / y[i]) for i in tested if y[i] != 0]
+            want[k, cutoff] = (pytest.approx(np.mean(errors), abs=2e-6), len(tested))
+            cutoff -= dt.timedelta(180)
+    assert got == want and len(want) == 18
+
+
+def test_walk_forward_never_multiplies_rows(spark):
+    plan = forecast.walk_forward_cv(series(spark, a=np.arange(40.0)))._jdf.queryExecution().optimizedPlan().toString()
+    for part in plan.split("Generate")[1:]:  # only folds and sums per stretch are unpacked
+        assert part.lstrip().startswith(("explode(sequence", "inline(array(struct"))
+    assert plan.count("Generate") == 2
