@@ -194,15 +194,22 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, miss: fl
     ``vectors`` has ``vec_id``, ``embedding`` and ``label``; other columns are not read. Only vectors of
     one label and one length are compared, by cosine in double precision; NULL labels, NULL, empty or zero
     vectors and such with NULL or non-finite components link with nothing. ``n_links`` counts all other
-    rows with a cosine of ``threshold`` or more, copies included. Repeated rows are copies of each other.
+    rows with a cosine of ``threshold`` or more, copies included. Repeated rows are copies of each other; rows of
+    one id with different vectors or labels are vectors of their own, each with its own links and component.
     A pair at the threshold is missed with a chance of ``miss`` (it meets in no table), plus that of a
     deviation of 6 sigma. Empty tables give empty results.
     """
     given = vectors.select("vec_id", "embedding", "label")
     rows = cut_lineage(given.mapInArrow(_usable, "vec_id long, label long, dims int, digest binary, vector binary"))
     usable = rows.where(F.col("digest").isNotNull() & F.col("vec_id").isNotNull())
-    classes = cut_lineage(usable.groupBy("label", "dims", "digest").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")))
-    leads = usable.join(classes, ["label", "dims", "digest"]).where(F.col("vec_id") == F.col("id"))
+    content = ["label", "dims", "digest"]
+    same = cut_lineage(usable.groupBy(*content).agg(F.min("vec_id").alias("low"), F.count("*").alias("copies")))
+    # equal vectors are one class, numbered by the smallest id; further classes of that id get a negative hash
+    first_of_id = same.groupBy("low").agg(F.min(F.struct(*content)).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    other = F.xxhash64(*content).bitwiseOR(F.lit(-(1 << 63)))
+    named = same.join(first_of_id, "low", "left").withColumn("id", F.when(F.struct(*content) != F.col("first"), other).otherwise(F.col("low")))
+    classes = cut_lineage(named.select(*content, "low", "copies", "id"))
+    leads = usable.join(classes, content).where(F.col("vec_id") == F.col("low"))
     leads = cut_lineage(leads.dropDuplicates(["id"]).select("id", "label", "dims", "copies", "vector"))
     bits, tables = table_plan(leads.count(), threshold, miss)
     spots = leads.mapInArrow(_keys(bits, tables), "id long, label long, dims int, keys array<int>").select("id", "label", "dims", F.posexplode("keys").alias("table", "key"))
@@ -217,7 +224,9 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.98, miss: fl
     links = found.where(F.col("b").isNull()).groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     components = connected_components(found.where(F.col("b").isNotNull()).select("a", "b"))
     of_class = classes.join(links, "id", "left").join(components, "id", "left")
-    of_class = of_class.select("label", "dims", "digest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
+    of_class = cut_lineage(of_class.select(*content, "low", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("class")))
+    lowest = of_class.groupBy("class").agg(F.min("low").alias("component_id"))
+    of_class = of_class.join(lowest, "class").drop("class", "low")
     component = F.coalesce("component_id", "vec_id")
     return rows.join(of_class, ["label", "dims", "digest"], "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept")

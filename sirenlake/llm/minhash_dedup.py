@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from sirenlake.functions.session import cut_lineage
 
-from .common import Words, mix, pieces, shingle_hashes
+from .common import Words, connected_components, mix, pieces, shingle_hashes
 from .linking import link, shared_bands
 
 COORDS, ROWS = 128, 4
@@ -29,7 +29,7 @@ BANDS = COORDS // ROWS
 ROUND = np.uint64(48)
 LOW = np.uint64((1 << 48) - 1)
 
-SKETCHED = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+SKETCHED = "doc_id long, copy long, n_shingles long, set_key binary, bands array<long>"
 SETS = "doc_id long, shingles binary"
 
 
@@ -78,9 +78,9 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("copy", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64()))])
     for batch in batches:
-        ids = batch.column("doc_id")
+        ids, copies = batch.column("doc_id"), batch.column("copy")
         for row, end, data, offsets in pieces(batch):
             h, first = distinct_sets(Words(data, offsets))
             count = np.diff(first)
@@ -88,7 +88,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             keys = [hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(first[:-1], first[1:])]
             use = np.where(count > 0, BANDS, 0)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(use)]), pa.int32()), pa.array(bands[count > 0].reshape(-1)))
-            yield pa.RecordBatch.from_arrays([ids.slice(row, end - row), pa.array(count, pa.int64()), pa.array(keys, pa.binary()), lists], schema=schema)
+            yield pa.RecordBatch.from_arrays([ids.slice(row, end - row), copies.slice(row, end - row), pa.array(count, pa.int64()), pa.array(keys, pa.binary()), lists], schema=schema)
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,32 +147,51 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     return rows.join(common, "band").withColumn("mark", mark).where((F.col("mark") <= F.col("size") - least + 1) & (F.col("df") > 1)).select("band", "id", "size", "mark")
 
 
+def same_id_edges(usable: DataFrame, of_class: DataFrame) -> DataFrame:
+    """Pairs of components that hold different texts of one ``doc_id``."""
+    placed = usable.join(of_class, "set_key").select("doc_id", "component").distinct()
+    several = placed.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("doc_id", "a")
+    return placed.join(several, "doc_id").where("a < component").select("a", F.col("component").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` per document.
 
     ``docs`` has ``doc_id`` and ``text``; other columns are not read. Shingles are five consecutive words
     (whole sequence for fewer). Documents link at ``percent`` of shared shingles or more, confirmed on full
     sets; a component is kept as its smallest ``doc_id``. NULL, empty and blank texts have no shingles and
-    link with nothing. Rows with one id are one document (their links count together) but stay separate
-    rows; a NULL id links with nothing and is kept. Empty tables give empty results. Bands miss a pair at
+    link with nothing. Rows with one id are one document (the links of all its texts count together) but stay
+    separate rows; a NULL id links with nothing and is kept. Empty tables give empty results. Bands miss a pair at
     the threshold with a chance of about 5 in a million, less above it.
+
+    Equal sets are one class, numbered by its smallest ``doc_id``; if several classes have the same one (an id
+    with different texts), all but the first of them get a negative hash of their set.
     """
-    source = docs.select("doc_id", "text")
+    source = docs.select("doc_id", "text", F.xxhash64("text").alias("copy"))
     sketched = cut_lineage(source.mapInArrow(_sketch_batches, SKETCHED))
     usable = sketched.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
-    classes = cut_lineage(usable.groupBy("set_key").agg(F.min("doc_id").alias("id")))
-    leads = usable.join(classes, ["set_key"]).where(F.col("doc_id") == F.col("id"))
+    of_set = cut_lineage(usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "copy")).alias("lead")))
+    first_of_id = of_set.groupBy(F.col("lead.doc_id").alias("low")).agg(F.min("set_key").alias("first_key"), F.count("*").alias("n")).where("n > 1").drop("n")
+    other = F.xxhash64("set_key").bitwiseOR(F.lit(-(1 << 63)))
+    named = of_set.join(first_of_id, F.col("lead.doc_id") == F.col("low"), "left")
+    classes = cut_lineage(named.select("set_key", "lead", F.when(F.col("set_key") != F.col("first_key"), other).otherwise(F.col("lead.doc_id")).alias("id")))
+    leads = usable.join(classes, "set_key").where(F.struct("doc_id", "copy") == F.col("lead"))
     members = shared_bands(leads.select("id", F.col("n_shingles").alias("size"), F.lit(1).alias("mark"), F.explode("bands").alias("band")))
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = cut_lineage(source.join(wanted, "doc_id", "left_semi").mapInArrow(_set_batches, SETS).dropDuplicates(["doc_id"]))
+    wanted = members.select("id").distinct().join(classes, "id").select("id", "lead.*")
+    texts = source.join(wanted, ["doc_id", "copy"]).select(F.col("id").alias("doc_id"), "text")
+    sets = cut_lineage(texts.mapInArrow(_set_batches, SETS).dropDuplicates(["doc_id"]))
     # mark is the place of a shingle in its set: if it is the first that two sets share, only what follows can be shared too
     rest = F.least(F.col("size") - F.col("mark"), F.col("other_size") - F.col("other_mark")) + 1
     near = rest * (100 + percent) >= (F.col("size") + F.col("other_size")) * percent
     # large groups of half similar texts share bands, but few rare shingles
     refine = lambda ids: _prefixes(sets.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), percent)
     components = link(members, lambda pairs: _confirmed(pairs, sets, percent), near, refine)
-    of_class = classes.join(components, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("id"))
-    component = F.coalesce("id", "doc_id")
-    return sketched.join(of_class, "set_key", "left").select(
+    of_class = cut_lineage(classes.join(components, "id", "left").select("set_key", F.col("lead.doc_id").alias("low"), F.coalesce("component_id", "id").alias("component")))
+    merged = connected_components(same_id_edges(usable, of_class)).select(F.col("id").alias("component"), F.col("component_id").alias("root"))
+    of_class = of_class.join(merged, "component", "left").select("set_key", "low", F.coalesce("root", "component").alias("component"))
+    lowest = of_class.groupBy("component").agg(F.min("low").alias("id"))
+    of_set = of_class.join(lowest, "component").select("set_key", "id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id"))
+    return sketched.join(of_set, "set_key", "left").select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     )

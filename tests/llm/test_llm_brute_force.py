@@ -360,3 +360,47 @@ def test_obfuscated_personal_data_is_added(spark):
 
 
 pii_ip = re.compile(r"(?<![0-9])(?:2[6-9]|25[6-9]|[3-9][0-9])[0-9](?![0-9])")
+
+
+def test_repeated_ids_lose_no_link_between_documents(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (1, b), (2, a + " end"), (3, b + " end"), (4, "nothing like these two at all"), (None, a), (5, None), (1, None)]
+    got = sorted(map(tuple, minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "component_id", "kept").collect()), key=repr)
+    assert got == sorted([(1, 1, True)] * 4 + [(2, 1, False), (3, 1, False), (4, 4, True), (None, None, True), (5, 5, True)], key=repr)
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(9)], k=30)) for _ in range(12)]
+    many = [(rng.randrange(25), rng.choice(texts) + rng.choice(["", " x", " y z"])) for _ in range(120)]
+    groups = Groups()
+    sets = [(i, shingles(t)) for i, t in many]
+    for i, x in sets:
+        for j, y in sets:
+            if 100 * len(x & y) >= 75 * len(x | y):
+                groups.join(i, j)
+    found = {(r["doc_id"], r["component_id"]) for r in minhash_dedup.near_duplicates(spark.createDataFrame(many, "doc_id long, text string")).collect()}
+    assert found == {(i, groups.top(i)) for i, _ in many}
+
+
+def test_repeated_ids_lose_no_link_between_vectors(spark):
+    e1, e2, n1, n2 = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [1.0, 0.05, 0.0], [0.05, 1.0, 0.0]
+    rows = [(1, e1, 1), (1, e2, 1), (2, n1, 1), (3, n2, 1), (1, e2, 2), (4, n2, 2), (1, e2, 1)]
+    got = sorted(map(tuple, embedding_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")).select("vec_id", "n_links", "component_id", "kept").collect()))
+    assert got == sorted([(1, 1, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (1, 1, 1, True), (4, 1, 1, False)])
+
+
+@pytest.mark.parametrize("filter_size", [1 << 20, 3])
+def test_importance_weights_in_plain_python(spark, documents, texts, monkeypatch, filter_size):
+    monkeypatch.setattr(importance, "FILTER", filter_size)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    good = {r["doc_id"] for r in labels.where("quality = 1").collect()}
+    buckets = {}
+    for i, t in texts.items():
+        data = np.frombuffer(t.encode(), np.uint8)
+        buckets[i] = importance.ngram_buckets(data, np.array([0, len(data)]))[0].tolist()
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        assert len(buckets[i]) == len(words) + max(0, len(words) - 1)
+    raw, target = Counter(b for v in buckets.values() for b in v), Counter(b for i, v in buckets.items() if i in good for b in v)
+    n = importance.BUCKETS
+    of_raw, of_target = sum(raw.values()) + n, sum(target.values()) + n
+    ratio = {b: math.log((target[b] + 1) / of_target) - math.log((raw[b] + 1) / of_raw) for b in raw}
+    for r in importance.resample(documents, labels).collect():
+        assert r["log_weight"] == pytest.approx(sum(ratio[b] for b in buckets[r["doc_id"]]), abs=1e-6)
