@@ -32,6 +32,7 @@ CHUNK = 1 << 16  # bytes; longer texts are cut
 GROUP = 64  # matrices combined at once
 NONE = -np.inf
 SLOTS = 1 << 18
+MEMORY = 1 << 18  # segments whose paths a task remembers
 SEGMENT = 48  # bytes up to which segments are solved together
 
 
@@ -41,6 +42,25 @@ def hashes_of(parts: list[bytes]) -> np.ndarray:
     return Words(data, np.concatenate([[0], ends]), lower=False).spans(ends - [len(p) for p in parts], ends)
 
 
+class Solved:
+    """Paths of the short segments met so far, by the hash of their bytes: at most MEMORY and those of one piece of text."""
+
+    def __init__(self) -> None:
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are known, and their places."""
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        return (self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)), at
+
+    def add(self, keys: np.ndarray, numbers: np.ndarray, count: np.ndarray) -> None:
+        keys, first = np.concatenate([self.keys, keys]), np.concatenate([self.first, len(self.numbers) + np.cumsum(count) - count])
+        count, order = np.concatenate([self.count, count]), np.argsort(keys)
+        self.keys, self.first, self.count = keys[order], first[order], count[order]
+        self.numbers = np.concatenate([self.numbers, numbers])
+
+
 @dataclass
 class Vocabulary:
     """Pieces as bytes (blank for the blank sign), scores, byte pieces; lookup by hash."""
@@ -55,6 +75,7 @@ class Vocabulary:
     keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     reach: np.ndarray = field(default_factory=lambda: np.full(1 << 16, 4, np.int8))  # longest piece by its first two bytes
+    solved: Solved = field(default_factory=Solved)
 
     def __post_init__(self) -> None:
         self.longest = max(len(p) for p in self.pieces)
@@ -230,13 +251,17 @@ def encode_piece(vocab: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tu
     begin = np.flatnonzero(fresh[:-1])
     end = np.append(begin[1:], len(spaced))
     key = words.spans(begin, end)
-    _, one, which = np.unique(key, return_index=True, return_inverse=True)
+    distinct, one, which = np.unique(key, return_index=True, return_inverse=True)
     brief = end[one] - begin[one] <= SEGMENT
-    numbers, count = encode_together(vocab, words, begin[one[brief]], end[one[brief]])
-    counts = np.zeros(len(one), np.int64)
-    counts[brief] = count
-    firsts = np.zeros(len(one), np.int64)
-    firsts[brief] = np.cumsum(count) - count
+    known, _ = vocab.solved.find(distinct)
+    if len(vocab.solved.keys) + np.count_nonzero(brief & ~known) > MEMORY:
+        vocab.solved, known = Solved(), np.zeros(len(one), bool)
+    new = np.flatnonzero(brief & ~known)
+    numbers, count = encode_together(vocab, words, begin[one[new]], end[one[new]])
+    vocab.solved.add(distinct[new], numbers, count)
+    at = vocab.solved.find(distinct[brief])[1]
+    counts, firsts, numbers = np.zeros(len(one), np.int64), np.zeros(len(one), np.int64), vocab.solved.numbers
+    counts[brief], firsts[brief] = vocab.solved.count[at], vocab.solved.first[at]
     extra = [np.array(encode_segment(vocab, spaced[begin[i] : end[i]].tobytes()), np.int32) for i in one[~brief]]
     counts[~brief] = [len(e) for e in extra]
     firsts[~brief] = len(numbers) + np.cumsum([0, *map(len, extra)])[:-1] if extra else 0
