@@ -3,9 +3,10 @@
 Document counts, lengths and frequencies of terms are global, so scores do not depend on the sharding.
 Documents are dealt to shards by a hash. A task reads a shard's documents, builds the postings sorted by
 term and document with the largest impact per term and block of documents, then streams the queries: the
-sum of a query's block maxima bounds the scores in a block; the block with the largest bound is scored
-first, and then only blocks whose bound reaches the k-th best score so far. The best k of every shard merge
-to the exact best k.
+sum of a query's block maxima bounds the scores in a block; blocks are scored in falling order of their bound, in
+groups that double, until the bound lies below the k-th best score so far, which rises from group to group. WAND's
+pivoting document by document inside a block is replaced by scoring the block's postings at once. The best k of
+every shard merge to the exact best k.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from .sentencepiece_scan import ragged
 K1, B = 1.2, 0.75
 SHARD_DOCS = 16384
 BLOCK = 512
+HELD = 1 << 20  # terms whose documents a task counts at once
 
 
 def term_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -40,34 +42,40 @@ def term_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class ShardIndex:
-    """Postings of a shard: by term, then document; block maxima; length-normalised impacts."""
+    """Postings of a shard: by term, then document; length-normalised impacts.
+
+    A cell is a term in a block of documents; only cells with a posting exist, with their largest impact.
+    """
 
     def __init__(self, ids: np.ndarray, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarray, average: float):
         order = np.lexsort((doc, term))
         self.ids, self.doc = ids, doc[order]
         term, tf = term[order], tf[order]
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.doc] / average))
-        self.terms, self.first = np.unique(term, return_index=True)
-        self.first = np.append(self.first, len(term))
         self.blocks = max(1, math.ceil(len(ids) / BLOCK))
-        at = np.repeat(np.arange(len(self.terms)), np.diff(self.first)) * self.blocks + self.doc // BLOCK
-        self.most = np.zeros(len(self.terms) * self.blocks, np.float32)
-        np.maximum.at(self.most, at, np.nextafter(self.impact.astype(np.float32), np.float32(np.inf)))
-        self.most = self.most.reshape(-1, self.blocks)
-        self.cell = np.searchsorted(at, np.arange(len(self.terms) * self.blocks + 1))
-
-    def _score(self, rows: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Documents of some blocks and their scores."""
-        if len(blocks) == self.blocks:
-            total = np.zeros(len(self.ids))
-            for r, w in zip(rows, weight):
-                a, b = self.first[r], self.first[r + 1]
-                total[self.doc[a:b]] += w * self.impact[a:b]
-        else:
-            cells = rows[:, None] * self.blocks + blocks[None, :]
-            count = (self.cell[cells + 1] - self.cell[cells]).ravel()
-            at = ragged(self.cell[cells].ravel(), count)
-            total = np.bincount(self.doc[at], self.impact[at] * np.repeat(np.repeat(weight, len(blocks)), count), len(self.ids))
+        block = (self.doc // BLOCK).astype(np.int32)
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        cell = np.flatnonzero(new)
+        self.start = np.append(cell, len(term))  # postings by cell
+        self.block = block[cell]
+        most = np.maximum.reduceat(self.impact, cell) if len(cell) else self.impact
+        self.most = np.nextafter(most.astype(np.float32), np.float32(np.inf))
+        self.terms, first = np.unique(term[cell], return_index=True)
+        self.first = np.append(first, len(cell))  # cells by term
+
+    def _cells(self, rows: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cells of some terms, and the weight of each."""
+        count = self.first[rows + 1] - self.first[rows]
+        return ragged(self.first[rows], count), np.repeat(weight, count)
+
+    def _score(self, cells: np.ndarray, weight: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Documents of the ``chosen`` blocks and their scores."""
+        some = chosen[self.block[cells]]
+        cells, weight = cells[some], weight[some]
+        count = self.start[cells + 1] - self.start[cells]
+        at = ragged(self.start[cells], count)
+        total = np.bincount(self.doc[at], self.impact[at] * np.repeat(weight, count), len(self.ids))
         doc = np.flatnonzero(total)
         return doc, total[doc]
 
@@ -79,16 +87,19 @@ class ShardIndex:
         rows, weight = at[has], weight[has]
         if not len(rows):
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = weight @ self.most[rows] * (1 + 1e-6)
-        top = int(np.argmax(bound))
-        doc, score = self._score(rows, weight, np.array([top]))
-        floor = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else 0.0
-        rest = np.flatnonzero((bound >= floor) & (bound > 0) & (np.arange(self.blocks) != top))
-        if len(rest) * 2 > self.blocks:
-            doc, score = self._score(rows, weight, np.arange(self.blocks))
-        elif len(rest):
-            more, scores = self._score(rows, weight, rest)
+        cells, weight = self._cells(rows, weight)
+        bound = np.bincount(self.block[cells], weight * self.most[cells], self.blocks) * (1 + 1e-6)
+        doc, score, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
+        order, done, step = np.argsort(-bound, kind="stable"), 0, 1
+        while done < self.blocks and bound[order[done]] > 0 and bound[order[done]] >= floor:  # the floor rises from group to group
+            chosen = np.zeros(self.blocks, bool)
+            group = order[done : done + step]
+            chosen[group[(bound[group] >= floor) & (bound[group] > 0)]] = True
+            more, scores = self._score(cells, weight, chosen)
             doc, score = np.concatenate([doc, more]), np.concatenate([score, scores])
+            if len(score) >= k:
+                floor = np.partition(score, len(score) - k)[len(score) - k]
+            done, step = done + step, step * 2
         if len(score) > k:
             keep = score >= np.partition(score, len(score) - k)[len(score) - k]
             doc, score = doc[keep], score[keep]
@@ -97,14 +108,26 @@ class ShardIndex:
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents per term, summed in the task for up to HELD terms at once, and the task's documents and words."""
     schema = pa.schema([("term", pa.int64()), ("df", pa.int64()), ("docs", pa.int64()), ("length", pa.int64())])
+    terms, df, docs, length = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0
+
+    def rows() -> pa.RecordBatch:
+        none = pa.nulls(len(terms), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(terms), pa.array(df), none, none], schema=schema)
+
     for batch in batches:
         for row, end, data, offsets in pieces(batch):
             _, term, _, count = term_counts(data, offsets)
-            terms, df = np.unique(term, return_counts=True)
-            none = [None] * len(terms)
-            yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(df), pa.array(none, pa.int64()), pa.array(none, pa.int64())], schema=schema)
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([end - row]), pa.array([int(count.sum())])], schema=schema)
+            docs, length = docs + end - row, length + int(count.sum())
+            new, times = np.unique(term, return_counts=True)
+            terms, where = np.unique(np.concatenate([terms, new]), return_inverse=True)
+            df = np.bincount(where, np.concatenate([df, times]), len(terms)).astype(np.int64)
+            if len(terms) > HELD:
+                yield rows()
+                terms, df = terms[:0], df[:0]
+    yield rows()
+    yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (None, None, docs, length)], schema=schema)
 
 
 def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,13 +156,15 @@ def _searcher(average: float, k: int):
                     ids.append(part.column("doc_id").to_numpy())
                     for row, end, data, offsets in pieces(part):
                         doc, term, tf, length = term_counts(data, offsets)
-                        parts.append((doc + docs, term, tf))
+                        parts.append(((doc + docs).astype(np.int32), term, tf.astype(np.int32)))
                         lengths.append(length)
                         docs += end - row
                     continue
                 if index is None and docs:
-                    index = ShardIndex(np.concatenate(ids), *(np.concatenate(p) for p in zip(*parts)), np.concatenate(lengths), average)
+                    columns = [np.concatenate(p) for p in zip(*parts)]
                     parts = []
+                    index = ShardIndex(np.concatenate(ids), *columns, np.concatenate(lengths), average)
+                    columns = []
                 if index is None:
                     continue
                 out = []
