@@ -27,6 +27,8 @@ from .sentencepiece_scan import ragged
 K1, B = 1.2, 0.75
 SHARD_DOCS = 16384
 BLOCK = 512
+STEP = 1 << 18
+TEXT_BYTES = 1 << 18  # text parsed at once
 HELD = 1 << 20  # terms whose documents a task counts at once
 
 
@@ -47,11 +49,20 @@ class ShardIndex:
     A cell is a term in a block of documents; only cells with a posting exist, with their largest impact.
     """
 
-    def __init__(self, ids: np.ndarray, doc: np.ndarray, term: np.ndarray, tf: np.ndarray, length: np.ndarray, average: float):
-        order = np.lexsort((doc, term))
+    def __init__(self, ids: np.ndarray, postings: list[np.ndarray], length: np.ndarray, average: float):
+        """``postings`` are documents, terms and counts in the order of the documents; the list is emptied to free them."""
+        tf, term, doc = (postings.pop() for _ in range(3))
+        order = np.argsort(term, kind="stable")
         self.ids, self.doc = ids, doc[order]
-        term, tf = term[order], tf[order]
-        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.doc] / average))
+        del doc
+        self.impact = tf[order].astype(np.float64)
+        del tf
+        term = term[order]
+        del order
+        norm = K1 * (1 - B + B * length / average)
+        for low in range(0, len(self.impact), STEP):  # in parts, which keeps the intermediate arrays small
+            part = self.impact[low : low + STEP]
+            part *= (K1 + 1) / (part + norm[self.doc[low : low + STEP]])
         self.blocks = max(1, math.ceil(len(ids) / BLOCK))
         block = (self.doc // BLOCK).astype(np.int32)
         new = np.ones(len(term), bool)
@@ -117,7 +128,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(terms), pa.array(df), none, none], schema=schema)
 
     for batch in batches:
-        for row, end, data, offsets in pieces(batch):
+        for row, end, data, offsets in pieces(batch, limit=TEXT_BYTES):
             _, term, _, count = term_counts(data, offsets)
             docs, length = docs + end - row, length + int(count.sum())
             new, times = np.unique(term, return_counts=True)
@@ -133,7 +144,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
-        for row, _, data, offsets in pieces(batch):
+        for row, _, data, offsets in pieces(batch, limit=TEXT_BYTES):
             doc, term, _, _ = term_counts(data, offsets)
             yield pa.RecordBatch.from_arrays([pa.array(ids[row + doc]), pa.array(term)], ["query_id", "term"])
 
@@ -154,17 +165,16 @@ def _searcher(average: float, k: int):
                 part = batch.slice(a, b - a)
                 if not kinds[a]:
                     ids.append(part.column("doc_id").to_numpy())
-                    for row, end, data, offsets in pieces(part):
+                    for row, end, data, offsets in pieces(part, limit=TEXT_BYTES):
                         doc, term, tf, length = term_counts(data, offsets)
                         parts.append(((doc + docs).astype(np.int32), term, tf.astype(np.int32)))
                         lengths.append(length)
                         docs += end - row
                     continue
                 if index is None and docs:
-                    columns = [np.concatenate(p) for p in zip(*parts)]
+                    postings = [np.concatenate(p) for p in zip(*parts)]
                     parts = []
-                    index = ShardIndex(np.concatenate(ids), *columns, np.concatenate(lengths), average)
-                    columns = []
+                    index = ShardIndex(np.concatenate(ids), postings, np.concatenate(lengths), average)
                 if index is None:
                     continue
                 out = []

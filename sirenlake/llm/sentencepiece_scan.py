@@ -32,7 +32,8 @@ CHUNK = 1 << 16  # bytes; longer texts are cut
 GROUP = 64  # matrices combined at once
 NONE = -np.inf
 SLOTS = 1 << 18
-MEMORY = 1 << 18  # segments whose paths a task remembers
+TEXT_BYTES = 1 << 18  # text encoded at once
+MEMORY = 1 << 17  # segments whose paths a task remembers
 SEGMENT = 48  # bytes up to which segments are solved together
 
 
@@ -399,7 +400,7 @@ def encode_documents(docs: DataFrame, vocab: Vocabulary, chunk: int = CHUNK, gro
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, end, data, offsets in pieces(batch):
+            for row, end, data, offsets in pieces(batch, limit=TEXT_BYTES):
                 numbers, count = encode_piece(shared.value, data, offsets)
                 rows = batch.slice(row, end - row)
                 valid = np.asarray(rows.column("text").is_valid())
