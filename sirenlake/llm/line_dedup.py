@@ -1,11 +1,16 @@
-"""Line dedup: lines are normalised, met in their rarest word pairs and verified by edit similarity.
-
-A line's words are its runs of letters in lower case, so case, digits and punctuation do not count; in scripts
-without blanks every letter is a word. Lines with equal words are one class. Candidates come from a prefix
-filter that loses no pair at the similarity: every edit changes at most two of a line's neighbouring word
-pairs, so two similar lines share one of the few rarest pairs of each. Lines too short for a single word edit
-are compared by characters and meet in the runs that so few edits must leave whole. Of every connected group
-the first occurrence stays. DataFrame operations only.
+"""Line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one line per connected group.
+
+A line's words are its runs of letters, marks and digits in lower case, so case, blanks and punctuation do not
+count; in scripts without blanks every letter is a word. Lines with equal words are one class, however short.
+Two lines are similar if 1 - edits / words of the longer one reaches the similarity, with edits of whole words
+at every length; so lines whose words allow no edit are similar only if they are equal.
+
+Candidates are lines with an equal block of their SimHash. Bits of a plain SimHash flip one by one: of a line
+in which a tenth of the words change, a block wide enough for large tables survives in few cases. Every block
+therefore weighs the words anew, by a seeded hash and the square of their length (short words are common), and
+lets only the three heaviest vote; a bit of the block is the majority of their bits. A block thus stays whole
+unless one of three words changes, and the number of blocks follows from the similarity: so many that at least
+one of them survives in 99 % of the pairs that only just reach it, if words were equally long. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -19,138 +24,102 @@ from sirenlake.functions.session import cut_lineage
 
 from .linking import link, shared_bands
 
-MIN_WORDS = 5
 SIMILARITY = 0.9
 BUCKETS = 1 << 20
-FIRST_CODE, CODES = 0x4E00, 20480  # characters that stand for words
-LEVELS = 1 << 14  # buckets of word pairs whose frequency is estimated
-COUNTED = 16  # one document in so many is counted for it
+FIRST_CODE, CODES = 0x10000, 0xF0000  # code points that stand for words
+VOTERS = 3  # words that decide a block
+SURVIVAL = 0.99  # share of pairs at the similarity of which a block survives
 UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
 
 
 def line_items(text: Column) -> Column:
     """One struct per line with its ``words``."""
-    words = lambda line: F.array_remove(F.split(F.lower(line), r"[^\p{L}]+"), "")
-    return F.transform(F.split(F.regexp_replace(text, UNSPACED, " $1 "), "\n"), lambda line: F.struct(words(line).alias("words")))
+    spaced = F.when(F.octet_length(text) > F.length(text), F.regexp_replace(text, UNSPACED, " $1 ")).otherwise(text)
+    plain = F.regexp_replace(F.lower(spaced), r"[^\p{L}\p{M}\p{N}\n]+", " ")
+    words = lambda line: F.array_remove(F.split(line, " "), "")
+    return F.transform(F.split(plain, "\n"), lambda line: F.struct(words(line).alias("words")))
 
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
     """``doc_id``, ``copy`` (hash of the text), ``line_no``, ``h``, ``words`` of the lines that take part."""
     rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("copy"), F.posexplode_outer(line_items(F.col("text"))).alias("line_no", "item"))
-    rows = rows.where(F.size("item.words") >= min_words)
+    rows = rows.where(F.size("item.words") >= max(min_words, 1))
     return rows.select("doc_id", "copy", "line_no", F.xxhash64("item.words").alias("h"), F.col("item.words").alias("words"))
 
 
 def edits(size: Column, similarity: float) -> Column:
-    """Edits that ``size`` units allow."""
+    """Edits that ``size`` words allow."""
     return F.floor(size * (1 - similarity) + 1e-9).cast("int")
 
 
-def word_pairs(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``pairs``, the hashes of neighbouring words; the last word pairs with nothing."""
-    hashed = lines.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    following = F.slice("hashes", 2, F.size("hashes"))
-    return hashed.withColumn("pairs", F.zip_with("hashes", following, lambda x, y: F.xxhash64(x, y))).drop("hashes")
+def block_count(similarity: float) -> int:
+    """Blocks of which one survives in SURVIVAL of the pairs at ``similarity``.
 
-
-def pair_levels(docs: DataFrame, min_words: int) -> bytes:
-    """Level (logarithm of the frequency) of every bucket of word pairs.
-
-    It only orders the pairs. Any order finds the same lines, so a share of the documents is enough.
-    """
-    some = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("level")), F.lit(COUNTED)) == 0)
-    pairs = word_pairs(lines_of(some, min_words)).select(F.explode("pairs").alias("pair"))
-    rows = pairs.groupBy(F.pmod("pair", F.lit(LEVELS)).alias("bucket")).agg(F.count("*").alias("n")).collect()
-    levels = bytearray(b"\x01" * LEVELS)
-    for r in rows:
-        levels[r["bucket"]] = min(127, 1 + int(4 * math.log2(r["n"])))
-    return bytes(levels)
-
-
-def rare_pairs(pairs: Column, size: Column, levels: bytes, similarity: float) -> Column:
-    """The rarest word pairs of a line, as many as a similar line must have one in common of.
-
-    e edits change at most 2e pairs of the longer line; a line that is one word shorter than where one
-    more edit is allowed needs the number of the longer one.
+    Replacing a share d of the words leaves (1 - d) / (1 + d) of all words of both lines in common, which is
+    the chance that both have the same heaviest word.
     """
-    level = lambda x: F.ascii(F.substring(F.lit(levels), (F.pmod(x, F.lit(LEVELS)) + 1).cast("int"), F.lit(1)).cast("string"))
-    ordered = F.array_sort(F.transform(pairs, lambda x: F.shiftleft(level(x).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(x, 8))))
-    more = edits(size + 1, similarity)
-    many = F.when(more > 0, F.greatest(edits(size, similarity) * 2 + 1, more * 2)).otherwise(0)
-    return F.array_distinct(F.slice(ordered, F.lit(1), many))
+    whole = (similarity / (2 - similarity)) ** VOTERS
+    return 1 if whole >= SURVIVAL else math.ceil(math.log(1 - SURVIVAL) / math.log(1 - whole) - 1e-9)
 
 
-def short_keys(line: Column, similarity: float) -> Column:
-    """Runs of characters of which two similar short lines have one in common.
+def simhash_block(marks: Column, block: int) -> Column:
+    """The block of that number of a line's SimHash, 64 bits.
 
-    If the longer of two lines has m characters, e edits leave one of e + 1 runs with at least
-    (m - e) / (e + 1) characters whole; e is that of the longer line, so a line has keys for its own e
-    and for those of the longer lines it may meet.
+    ``marks`` are hashes of the distinct words with the length of the word in the lowest six bits.
     """
-    length = F.length(line)
-    least = edits(length, similarity)
-    most = F.floor(F.floor(length / similarity + 1e-9) * (1 - similarity) + 1e-9).cast("int")
+    rank = lambda x: F.shiftrightunsigned(F.xxhash64(x, F.lit(block)), 33).cast("double") / F.pow(x.bitwiseAND(F.lit(63)), 2)
+    ranked = F.transform(marks, lambda x: F.shiftleft(rank(x).cast("long"), 32).bitwiseOR(x.bitwiseAND(F.lit(0xFFFFFFFF))))
+    voters = F.transform(F.slice(F.array_sort(ranked), 1, VOTERS), lambda x: F.xxhash64(x, F.lit(block)))
+    a, b, c = (F.coalesce(F.get(voters, F.lit(i)), F.lit(0)) for i in range(VOTERS))
+    return a.bitwiseAND(b).bitwiseOR(a.bitwiseAND(c)).bitwiseOR(b.bitwiseAND(c))
 
-    def runs(e: Column) -> Column:
-        shortest = F.ceil(e / (1 - similarity) - 1e-9) if similarity < 1 else F.lit(0)
-        q = F.ceil((shortest - e) / (e + 1)).cast("int")
-        return F.when(length < q, F.array().cast("array<long>")).otherwise(F.transform(F.sequence(F.lit(1), length - q + 1), lambda i: F.xxhash64(e, F.substring(line, i, q))))
 
-    every = F.flatten(F.transform(F.sequence(F.greatest(least, F.lit(1)), F.greatest(most, F.lit(1))), runs))
-    return F.when(most > 0, F.array_distinct(every)).otherwise(F.array().cast("array<long>"))
+def line_blocks(words: Column, similarity: float) -> Column:
+    """Keys of all blocks; none if the line is too short for an edit."""
+    mark = lambda w: F.xxhash64(w).bitwiseAND(F.lit(-64)).bitwiseOR(F.least(F.length(w), F.lit(63)).cast("long"))
+    marks = F.array_distinct(F.transform(words, mark))
+    every = F.transform(F.array(marks), lambda m: F.array(*[F.xxhash64(F.lit(k), simhash_block(m, k)) for k in range(block_count(similarity))]))
+    return F.when(edits(F.size(words) + 1, similarity) > 0, F.element_at(every, 1)).otherwise(F.array().cast("array<long>"))
 
 
-def word_codes(line: Column) -> Column:
+def word_codes(words: Column) -> Column:
     """One character per word, by the word's hash, so that edit distance counts words."""
-    code = lambda word: F.decode(F.unhex(F.hex(F.pmod(F.xxhash64(word), F.lit(CODES)) + FIRST_CODE)), "UTF-16BE")
-    return F.array_join(F.transform(F.split(line, " "), code), "")
+    code = lambda word: F.lpad(F.hex(F.pmod(F.xxhash64(word), F.lit(CODES)) + FIRST_CODE), 8, "0")
+    return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-32")
 
 
 def similar(pairs: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose word codes ``x`` and ``y`` are similar, or whose lines if they are short.
-
-    Edit similarity is 1 - edits / units of the longer line, at every length. The units are words; where
-    the words allow no edit, they are the characters of ``x_line`` and ``y_line``.
-    """
+    """Pairs (a, b) whose word codes ``x`` and ``y`` are similar."""
     texts = pairs.withColumn("edits", edits(F.greatest(F.length("x"), F.length("y")), similarity))
-    texts = texts.withColumn("line_edits", edits(F.greatest(F.length("x_line"), F.length("y_line")), similarity))
-    by_words, by_characters = F.expr("levenshtein(x, y, edits)") >= 0, F.expr("levenshtein(x_line, y_line, line_edits)") >= 0
-    return texts.where(F.when(F.col("edits") > 0, by_words).otherwise(by_characters)).select("a", "b")
+    return texts.where(F.expr("levenshtein(x, y, edits)") >= 0).select("a", "b")
 
 
-def line_groups(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """Every line that takes part: ``doc_id``, ``copy``, ``line_no``, ``group`` and ``first`` (is it the one that stays).
+def line_groups(docs: DataFrame, min_words: int = 1, similarity: float = SIMILARITY) -> DataFrame:
+    """Lines of groups with several: ``doc_id``, ``copy``, ``line_no``, ``group`` and ``first`` (is it the one that stays).
 
     The first occurrence by (doc_id, copy, line_no) stays.
     """
     if not 0.5 < similarity <= 1:
         raise ValueError("similarity must be over 0.5 and at most 1")
-    size = F.size("words")
-    is_short = edits(size, similarity) == 0
-    line = F.array_join("words", " ")
-    levels = pair_levels(docs, min_words)
-    keyed = word_pairs(lines_of(docs, min_words)).withColumn("short", F.when(is_short, line))
-    keyed = keyed.withColumn("keys", rare_pairs(F.col("pairs"), size, levels, similarity))
-    lines = cut_lineage(keyed.select("doc_id", "copy", "line_no", "h", size.alias("size"), "keys", "short"))
+    size, words = F.size("words"), F.col("words")
+    may_differ = edits(size + 1, similarity) > 0  # the longer of two lines may have one word more
+    # texts are parsed once; lines keep their keys and word codes, never their text
+    keyed = lines_of(docs, min_words).select("doc_id", "copy", "line_no", "h", size.alias("size"), line_blocks(words, similarity).alias("keys"), F.when(may_differ, word_codes(words)).alias("code"))
+    lines = cut_lineage(keyed)
     place = F.struct("doc_id", "copy", "line_no")
-    classes = cut_lineage(lines.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("short").alias("short")))
-    by_words = classes.select(F.col("h").alias("id"), "size", F.lit(0).alias("mark"), F.explode("keys").alias("band"))
-    by_characters = classes.where("short IS NOT NULL").select(F.col("h").alias("id"), F.length("short").alias("size"), F.lit(0).alias("mark"), F.explode(short_keys(F.col("short"), similarity)).alias("band"))
-    # levels start at 1 and end below 128, so the bands of words are positive; those of characters are made negative
-    members = shared_bands(by_words.union(by_characters.withColumn("band", F.col("band").bitwiseOR(F.lit(-(1 << 63))))))
+    classes = cut_lineage(lines.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.first("size").alias("size"), F.first("keys").alias("keys")))
+    members = shared_bands(classes.select(F.col("h").alias("id"), "size", F.lit(0).alias("mark"), F.explode("keys").alias("band")))
     ratio = F.least("size", "other_size") >= F.greatest("size", "other_size") * similarity - 1e-9
     wanted = cut_lineage(members.select(F.col("id").alias("h")).distinct().join(classes, "h").select("h", "first.*"))
-    lines_text = lines_of(docs, min_words).select("doc_id", "copy", "line_no", "h", F.array_join("words", " ").alias("line"))
     # at most BUCKETS numbers, so small enough for a broadcast; they spare most other lines the shuffle
     bucket = F.pmod("h", F.lit(BUCKETS)).alias("bucket")
-    lines_text = lines_text.withColumn("bucket", bucket).join(F.broadcast(wanted.select(bucket).distinct()), "bucket", "left_semi").drop("bucket")
-    texts = lines_text.join(wanted, ["h", "doc_id", "copy", "line_no"], "left_semi").dropDuplicates(["h"])
-    short = F.when(edits(F.size(F.split("line", " ")), similarity) == 0, F.col("line"))
-    texts = cut_lineage(texts.select("h", word_codes(F.col("line")).alias("code"), short.alias("short")))
+    near_codes = lines.where("code IS NOT NULL").select("doc_id", "copy", "line_no", "h", "code").withColumn("bucket", bucket)
+    near_codes = near_codes.join(F.broadcast(wanted.select(bucket).distinct()), "bucket", "left_semi").drop("bucket")
+    codes = cut_lineage(near_codes.join(wanted, ["h", "doc_id", "copy", "line_no"], "left_semi").dropDuplicates(["h"]).select("h", "code"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        x = texts.select(F.col("h").alias("a"), F.col("code").alias("x"), F.col("short").alias("x_line"))
-        y = texts.select(F.col("h").alias("b"), F.col("code").alias("y"), F.col("short").alias("y_line"))
+        x = codes.select(F.col("h").alias("a"), F.col("code").alias("x"))
+        y = codes.select(F.col("h").alias("b"), F.col("code").alias("y"))
         return similar(pairs.join(x, "a").join(y, "b"), similarity)
 
     components = link(members, confirm, ratio)
@@ -158,24 +127,27 @@ def line_groups(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float =
     grouped = cut_lineage(grouped.select("h", F.coalesce("component_id", "h").alias("group"), "n", "first"))
     kept = grouped.groupBy("group").agg(F.sum("n").alias("of"), F.min("first").alias("first"))
     of_class = cut_lineage(grouped.select("h", "group").join(kept.where("of > 1"), "group"))
-    return lines.join(of_class, "h").select("doc_id", "copy", "line_no", "group", (place == F.col("first")).alias("first"))
+    return lines.select("doc_id", "copy", "line_no", "h").join(of_class, "h").select("doc_id", "copy", "line_no", "group", (place == F.col("first")).alias("first"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = 1, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``, and ``_lines``, ``_dropped`` (numbers of lines).
 
-    Lines with fewer than ``min_words`` words always stay, as do lines of documents with a NULL id. Texts
-    without a repeated line, NULL and empty ones stay as they are; a document that loses all its lines keeps
-    its row with an empty text. Repeated rows are one document, so each keeps the same lines; rows of one id
-    with different texts are told apart. Other columns are handed on; an empty table stays empty.
+    Lines without a word or with fewer than ``min_words`` always stay, as do lines of documents with a NULL
+    id. Texts without a repeated line, NULL and empty ones stay as they are; a document that loses all its
+    lines keeps its row with an empty text. Repeated rows are one document, so each keeps the same lines; rows
+    of one id with different texts are told apart. Other columns are handed on whatever their names, except
+    that ``_lines`` and ``_dropped`` are replaced; an empty table stays empty.
     """
     groups = line_groups(docs, min_words, similarity)
-    gone = groups.where(~F.col("first")).groupBy("doc_id", "copy").agg(F.collect_list("line_no").alias("_gone"))
-    gone = gone.withColumnsRenamed({"doc_id": "_doc", "copy": "_copy"})
-    joined = docs.join(gone, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_copy")), "left")
-    lines = F.split("text", "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_gone")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.element_at(lines, i + 1)), "\n"))
-    dropped = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))
-    count = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns], count.cast("long").alias("_lines"), dropped.cast("long").alias("_dropped"))
+    gone = groups.where(~F.col("first")).groupBy("doc_id", "copy").agg(F.collect_list("line_no").alias("lines"))
+    same = (F.col("d.doc_id") == F.col("g.doc_id")) & (F.xxhash64("d.text") == F.col("g.copy"))
+    joined = docs.alias("d").join(gone.alias("g"), same, "left")
+    old, out = F.col("d.text"), F.col("g.lines")
+    lines = F.split(old, "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), out)
+    text = F.when(out.isNull(), old).otherwise(F.array_join(F.transform(stay, lambda i: F.element_at(lines, i + 1)), "\n"))
+    dropped = F.when(out.isNull(), 0).otherwise(F.size(out))
+    count = F.when(old.isNull(), 0).otherwise(F.size(lines))
+    others = [text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns if c not in ("_lines", "_dropped")]
+    return joined.select(*others, count.cast("long").alias("_lines"), dropped.cast("long").alias("_dropped"))

@@ -163,7 +163,7 @@ def test_pii_base(spark, texts):
 
 
 def line_words(line):
-    return tuple(w for w in re.split(r"[\W\d_]+", line.lower()) if w)
+    return tuple(w for w in re.split(r"[\W_]+", line.lower()) if w)
 
 
 def test_lines(spark, documents, texts):
@@ -173,10 +173,9 @@ def test_lines(spark, documents, texts):
         keep = []
         for line in texts[i].split("\n"):
             words = line_words(line)
-            if len(words) < 5 or words not in seen:
+            if not words or words not in seen:
                 keep.append(line)
-            if len(words) >= 5:
-                seen.add(words)
+            seen.add(words)
         assert got[i]["text"] == "\n".join(keep)
 
 
@@ -188,7 +187,7 @@ def test_fuzzy_lines(spark):
     other = [w[::-1] for w in base]
     rows = [(1, " ".join(base) + "\nshort line"), (2, "KEEP\n" + " ".join(base).upper() + " 2024!"), (3, " ".join(changed)), (4, " ".join(other)), (5, "short line")]
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[1] == rows[0][1] and got[2] == "KEEP" and got[4] == rows[3][1] and got[5] == "short line"
+    assert got[1] == rows[0][1] and got[2] == "KEEP" and got[4] == rows[3][1] and got[3] == got[5] == ""
     assert line_dedup.dedup_lines(spark.createDataFrame(rows[:1] * 2, "doc_id long, text string")).where("_dropped > 0").count() == 0
 
 
@@ -286,53 +285,58 @@ def word_edits(x, y):
 
 
 def line_similar(x, y, similarity=0.9):
-    most = lambda n: math.floor(n * (1 - similarity) + 1e-9)
-    edits = most(max(len(x), len(y)))
-    x, y = (x, y) if edits else (" ".join(x), " ".join(y))
-    return word_edits(x, y) <= most(max(len(x), len(y)))
+    return word_edits(x, y) <= math.floor(max(len(x), len(y)) * (1 - similarity) + 1e-9)
 
 
-def test_every_similar_line_is_found(spark):
+def test_recall_of_similar_lines(spark):
+    """No pair that is not similar, and at least nine in ten of the similar ones at every length."""
     random.seed(12)
-    letters = "abcdefghij"
-    word = lambda: "".join(random.choices(letters, k=random.randint(2, 8)))
+    word = lambda: "".join(random.choices("abcdefghij", k=random.randint(2, 8)))
     common = [word() for _ in range(30)]
     lines = []
-    for size in [5, 6, 7, 8, 9, 9, 10, 11, 19, 20, 29, 30, 50, 99, 200] * 2:
-        base = [random.choice(common) if random.random() < 0.6 else word() for _ in range(size)]
+    for size in [1, 2, 3, 5, 9, 10, 11, 12, 14, 15, 17, 19, 20, 22, 25, 29, 30, 35, 40, 50, 70, 99, 200] * 4:
+        base = [random.choice(common) if size > 5 and random.random() < 0.6 else word() for _ in range(size)]
         lines.append(base)
-        for share in (0.05, 0.1, 0.1, 0.1, 0.13):
+        for share in (0, 0.05, 0.1, 0.1, 0.13):
             line = list(base)
-            for _ in range(max(1, int(size * share))):
-                i = random.randrange(len(line))
-                kind = random.randrange(4 if size > 9 else 5)
+            for _ in range(max(1, int(size * share)) if share else 0):
+                i, kind = random.randrange(len(line)), random.randrange(4)
                 if kind == 1:
                     line.insert(i, word())
-                elif kind == 2 and len(line) > 5:
+                elif kind == 2 and len(line) > 1:
                     del line[i]
-                elif size > 9:
-                    line[i] = word()
                 else:
-                    line[i] = line[i][:-1] + random.choice(letters)
+                    line[i] = word()
             lines.append(line)
-    groups = Groups()
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
+    group = {r["doc_id"]: r["group"] for r in line_dedup.line_groups(docs).collect()}
+    whole, found = Groups(), {"short": [], "medium": [], "long": []}
     for i, x in enumerate(lines):
         for j in range(i):
             if line_similar(x, lines[j]):
-                groups.join(i, j)
-    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
-    got = {r["doc_id"] for r in line_dedup.dedup_lines(docs).collect() if r["_dropped"]}
-    assert got == {i for i in range(len(lines)) if groups.top(i) != i}
+                whole.join(i, j)
+                found["short" if len(x) < 10 else "medium" if len(x) < 30 else "long"].append(i in group and group[i] == group.get(j))
+    assert all(sum(f) >= 0.9 * len(f) > 0 for f in found.values()) and all(found["short"])
+    for g in set(group.values()):
+        assert len({whole.top(i) for i in group if group[i] == g}) == 1
 
 
-def test_lines_of_every_length_follow_one_rule(spark):
+def test_one_edit_rule_at_every_length(spark):
     random.seed(13)
     word = lambda: "".join(random.choices("abcdefghijklmnop", k=6))
     bases = [[word() for _ in range(n)] for n in (4000, 4001, 34_000)]
     changed = [[word() if i % 16 == 0 else w for i, w in enumerate(b)] for b in bases]
-    rows = [" ".join(b) for b in bases + changed] + ["the firehouse opens every monday", "the firehouse opens every mondaz", "天地玄黄宇宙洪荒日月", "天地玄黄，宇宙洪荒日月"]
+    rows = [" ".join(b) for b in bases + changed] + ["Chapter 1", "Chapter 2", "天地玄黄宇宙洪荒日月", "天地玄黄，宇宙洪荒日月", "CHAPTER 1.", "--", "--"]
     got = line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).where("_dropped > 0").collect()
-    assert {r["doc_id"] for r in got} == {3, 4, 5, 7, 9}
+    assert {r["doc_id"] for r in got} == {3, 4, 5, 9, 10}
+
+
+def test_lines_with_clashing_columns(spark):
+    names = ["doc_id", "text", "_doc", "copy", "_gone", "h", "lines", "_lines", "d.x"]
+    docs = spark.createDataFrame([(1, "one line", 2, 3, 4, 5, 6, 7, 8), (2, "One line!", 2, 3, 4, 5, 6, 7, 8)], names)
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == [*(n for n in names if n != "_lines"), "_lines", "_dropped"]
+    assert sorted((r["doc_id"], r["text"], r["_doc"], r["d.x"], r["_lines"]) for r in out.collect()) == [(1, "one line", 2, 8, 1), (2, "", 2, 8, 1)]
 
 
 def test_all_good_documents_are_the_target(spark):
