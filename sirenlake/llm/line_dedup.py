@@ -7,9 +7,9 @@ at every length; so lines whose words allow no edit are similar only if they are
 
 Candidates are lines with an equal block of their SimHash. Bits of a plain SimHash flip one by one: of a line
 in which a tenth of the words change, a block wide enough for large tables survives in few cases. Every block
-therefore weighs the words anew, by a seeded hash and the square of their length (short words are common), and
-lets only the three heaviest vote; a bit of the block is the majority of their bits. A block thus stays whole
-unless one of three words changes, and the number of blocks follows from the similarity: so many that at least
+therefore lets only three words vote, the heaviest by its own seeded hash among the line's twelve heaviest by a
+hash over the square of their length (short words are common); a bit of the block is the majority of their
+bits. A block thus stays whole unless one of three words changes, and the number of blocks follows from the similarity: so many that at least
 one of them survives in 99 % of the pairs that only just reach it, if words were equally long. DataFrame operations only.
 """
 
@@ -27,9 +27,11 @@ from .linking import link, shared_bands
 SIMILARITY = 0.9
 BUCKETS = 1 << 20
 FIRST_CODE, CODES = 0x10000, 0xF0000  # code points that stand for words
+SAMPLE = 12  # heaviest words of a line, which may vote
 VOTERS = 3  # words that decide a block
 SURVIVAL = 0.99  # share of pairs at the similarity of which a block survives
-UNSPACED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+# Thai, Lao, Myanmar, Khmer, kana and Han; ranges, as looking up the script of every character is slow
+UNSPACED = r"([\u0E01-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3021-\u3029\u3038-\u303B\u3041-\u30FA\u30FC-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}])"
 
 
 def line_items(text: Column) -> Column:
@@ -63,21 +65,24 @@ def block_count(similarity: float) -> int:
 
 
 def simhash_block(marks: Column, block: int) -> Column:
-    """The block of that number of a line's SimHash, 64 bits.
+    """The block of that number of a line's SimHash, 64 bits, from the ``marks`` of its words."""
+    ranked = F.transform(marks, lambda x: F.shiftrightunsigned(F.xxhash64(x, F.lit(block)), 1)) if block else marks
+    voters = F.slice(F.sort_array(ranked), 1, VOTERS)
 
-    ``marks`` are hashes of the distinct words with the length of the word in the lowest six bits.
-    """
-    rank = lambda x: F.shiftrightunsigned(F.xxhash64(x, F.lit(block)), 33).cast("double") / F.pow(x.bitwiseAND(F.lit(63)), 2)
-    ranked = F.transform(marks, lambda x: F.shiftleft(rank(x).cast("long"), 32).bitwiseOR(x.bitwiseAND(F.lit(0xFFFFFFFF))))
-    voters = F.transform(F.slice(F.array_sort(ranked), 1, VOTERS), lambda x: F.xxhash64(x, F.lit(block)))
-    a, b, c = (F.coalesce(F.get(voters, F.lit(i)), F.lit(0)) for i in range(VOTERS))
-    return a.bitwiseAND(b).bitwiseOR(a.bitwiseAND(c)).bitwiseOR(b.bitwiseAND(c))
+    def majority(v: Column) -> Column:
+        a, b, c = (F.coalesce(F.xxhash64(F.get(v, F.lit(i))), F.lit(0)) for i in range(VOTERS))
+        return a.bitwiseAND(b).bitwiseOR(a.bitwiseAND(c)).bitwiseOR(b.bitwiseAND(c))
+
+    # a lambda's argument is evaluated once, an expression as often as it is named
+    return F.element_at(F.transform(F.array(voters), majority), 1)
 
 
 def line_blocks(words: Column, similarity: float) -> Column:
     """Keys of all blocks; none if the line is too short for an edit."""
-    mark = lambda w: F.xxhash64(w).bitwiseAND(F.lit(-64)).bitwiseOR(F.least(F.length(w), F.lit(63)).cast("long"))
-    marks = F.array_distinct(F.transform(words, mark))
+    # the smaller the heavier; the hash of a word is divided by the square of its length and followed by other bits of it
+    hashed = F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), F.length(w).alias("n")))
+    heavy = lambda x: F.shiftleft((F.shiftrightunsigned(x["h"], 33) / (x["n"] * x["n"])).cast("long"), 32).bitwiseOR(x["h"].bitwiseAND(F.lit(0xFFFFFFFF)))
+    marks = F.slice(F.sort_array(F.array_distinct(F.transform(hashed, heavy))), 1, SAMPLE)
     every = F.transform(F.array(marks), lambda m: F.array(*[F.xxhash64(F.lit(k), simhash_block(m, k)) for k in range(block_count(similarity))]))
     return F.when(edits(F.size(words) + 1, similarity) > 0, F.element_at(every, 1)).otherwise(F.array().cast("array<long>"))
 
