@@ -7,8 +7,8 @@ at every length; so lines whose words allow no edit are similar only if they are
 
 Candidates are lines with an equal block of their SimHash. Bits of a plain SimHash flip one by one: of a line
 in which a tenth of the words change, a block wide enough for large tables survives in few cases. Every block
-therefore lets only three words vote, the heaviest by its own seeded hash among the line's twelve heaviest by a
-hash over the square of their length (short words are common); a bit of the block is the majority of their
+therefore lets only three words vote, the first in an order of its own among the twelve words that come first by
+their hashes and lengths (short words are common); a bit of the block is the majority of their
 bits. A block thus stays whole unless one of three words changes, and the number of blocks follows from the similarity: so many that at least
 one of them survives in 99 % of the pairs that only just reach it, if words were equally long. DataFrame operations only.
 """
@@ -27,7 +27,7 @@ from .linking import link, shared_bands
 SIMILARITY = 0.9
 BUCKETS = 1 << 20
 FIRST_CODE, CODES = 0x10000, 0xF0000  # code points that stand for words
-SAMPLE = 12  # heaviest words of a line, which may vote
+SAMPLE = 12  # words of a line that may vote
 VOTERS = 3  # words that decide a block
 SURVIVAL = 0.99  # share of pairs at the similarity of which a block survives
 # Thai, Lao, Myanmar, Khmer, kana and Han; ranges, as looking up the script of every character is slow
@@ -64,33 +64,38 @@ def block_count(similarity: float) -> int:
     return 1 if whole >= SURVIVAL else math.ceil(math.log(1 - SURVIVAL) / math.log(1 - whole) - 1e-9)
 
 
-def simhash_block(marks: Column, block: int) -> Column:
-    """The block of that number of a line's SimHash, 64 bits, from the ``marks`` of its words."""
-    ranked = F.transform(marks, lambda x: F.shiftrightunsigned(F.xxhash64(x, F.lit(block)), 1)) if block else marks
+def word_marks(words: Column) -> Column:
+    """One positive number per word: its hash, shifted by the word's length, so that long words come first."""
+    return F.transform(words, lambda w: F.call_function("shiftrightunsigned", F.xxhash64(w), F.least(F.length(w), F.lit(16))))
+
+
+def simhash_block(sample: Column, block: int) -> Column:
+    """The block of that number of a line's SimHash, 64 bits, from the marks of the words that may vote."""
+    # every block ranks the words by other bits of their marks
+    turn, low = 5 * block + 1, lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF))
+    ranked = F.transform(sample, lambda x: low(F.shiftleft(x, turn)).bitwiseOR(F.shiftrightunsigned(low(x), 32 - turn)))
     voters = F.slice(F.sort_array(ranked), 1, VOTERS)
 
     def majority(v: Column) -> Column:
-        a, b, c = (F.coalesce(F.xxhash64(F.get(v, F.lit(i))), F.lit(0)) for i in range(VOTERS))
+        bits = lambda x: x.bitwiseXOR(F.shiftleft(x, 32)).bitwiseXOR(F.shiftleft(x, 43))
+        a, b, c = (F.coalesce(bits(F.get(v, F.lit(i))), F.lit(0)) for i in range(VOTERS))
         return a.bitwiseAND(b).bitwiseOR(a.bitwiseAND(c)).bitwiseOR(b.bitwiseAND(c))
 
     # a lambda's argument is evaluated once, an expression as often as it is named
     return F.element_at(F.transform(F.array(voters), majority), 1)
 
 
-def line_blocks(words: Column, similarity: float) -> Column:
+def line_blocks(marks: Column, similarity: float) -> Column:
     """Keys of all blocks; none if the line is too short for an edit."""
-    # the smaller the heavier; the hash of a word is divided by the square of its length and followed by other bits of it
-    hashed = F.transform(words, lambda w: F.struct(F.xxhash64(w).alias("h"), F.length(w).alias("n")))
-    heavy = lambda x: F.shiftleft((F.shiftrightunsigned(x["h"], 33) / (x["n"] * x["n"])).cast("long"), 32).bitwiseOR(x["h"].bitwiseAND(F.lit(0xFFFFFFFF)))
-    marks = F.slice(F.sort_array(F.array_distinct(F.transform(hashed, heavy))), 1, SAMPLE)
-    every = F.transform(F.array(marks), lambda m: F.array(*[F.xxhash64(F.lit(k), simhash_block(m, k)) for k in range(block_count(similarity))]))
-    return F.when(edits(F.size(words) + 1, similarity) > 0, F.element_at(every, 1)).otherwise(F.array().cast("array<long>"))
+    sample = F.slice(F.sort_array(F.array_distinct(marks)), 1, SAMPLE)
+    every = F.transform(F.array(sample), lambda m: F.array(*[simhash_block(m, k) for k in range(block_count(similarity))]))
+    return F.when(edits(F.size(marks) + 1, similarity) > 0, F.element_at(every, 1)).otherwise(F.array().cast("array<long>"))
 
 
-def word_codes(words: Column) -> Column:
-    """One character per word, by the word's hash, so that edit distance counts words."""
-    code = lambda word: F.lpad(F.hex(F.pmod(F.xxhash64(word), F.lit(CODES)) + FIRST_CODE), 8, "0")
-    return F.decode(F.unhex(F.array_join(F.transform(words, code), "")), "UTF-32")
+def word_codes(marks: Column) -> Column:
+    """One character per word, so that edit distance counts words."""
+    code = lambda mark: F.lpad(F.hex(F.pmod(mark, F.lit(CODES)) + FIRST_CODE), 8, "0")
+    return F.decode(F.unhex(F.array_join(F.transform(marks, code), "")), "UTF-32")
 
 
 def similar(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -106,14 +111,16 @@ def line_groups(docs: DataFrame, min_words: int = 1, similarity: float = SIMILAR
     """
     if not 0.5 < similarity <= 1:
         raise ValueError("similarity must be over 0.5 and at most 1")
-    size, words = F.size("words"), F.col("words")
+    size, marks = F.size("marks"), F.col("marks")
     may_differ = edits(size + 1, similarity) > 0  # the longer of two lines may have one word more
+    marked = lines_of(docs, min_words).withColumn("marks", word_marks(F.col("words")))
     # texts are parsed once; lines keep their keys and word codes, never their text
-    keyed = lines_of(docs, min_words).select("doc_id", "copy", "line_no", "h", size.alias("size"), line_blocks(words, similarity).alias("keys"), F.when(may_differ, word_codes(words)).alias("code"))
+    keyed = marked.select("doc_id", "copy", "line_no", "h", size.alias("size"), line_blocks(marks, similarity).alias("keys"), F.when(may_differ, word_codes(marks)).alias("code"))
     lines = cut_lineage(keyed)
     place = F.struct("doc_id", "copy", "line_no")
     classes = cut_lineage(lines.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.first("size").alias("size"), F.first("keys").alias("keys")))
-    members = shared_bands(classes.select(F.col("h").alias("id"), "size", F.lit(0).alias("mark"), F.explode("keys").alias("band")))
+    blocks = classes.select(F.col("h").alias("id"), "size", F.lit(0).alias("mark"), F.posexplode("keys").alias("block", "key"))
+    members = shared_bands(blocks.select("id", "size", "mark", F.xxhash64("block", "key").alias("band")))
     ratio = F.least("size", "other_size") >= F.greatest("size", "other_size") * similarity - 1e-9
     wanted = cut_lineage(members.select(F.col("id").alias("h")).distinct().join(classes, "h").select("h", "first.*"))
     # at most BUCKETS numbers, so small enough for a broadcast; they spare most other lines the shuffle
