@@ -34,19 +34,15 @@ SURVIVAL = 0.99  # share of pairs at the similarity of which a block survives
 UNSPACED = r"([\u0E01-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3021-\u3029\u3038-\u303B\u3041-\u30FA\u30FC-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}])"
 
 
-def line_items(text: Column) -> Column:
-    """One struct per line with its ``words``."""
-    spaced = F.when(F.octet_length(text) > F.length(text), F.regexp_replace(text, UNSPACED, " $1 ")).otherwise(text)
-    plain = F.regexp_replace(F.lower(spaced), r"[^\p{L}\p{M}\p{N}\n]+", " ")
-    words = lambda line: F.array_remove(F.split(line, " "), "")
-    return F.transform(F.split(plain, "\n"), lambda line: F.struct(words(line).alias("words")))
-
-
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
     """``doc_id``, ``copy`` (hash of the text), ``line_no``, ``h``, ``words`` of the lines that take part."""
-    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("copy"), F.posexplode_outer(line_items(F.col("text"))).alias("line_no", "item"))
-    rows = rows.where(F.size("item.words") >= max(min_words, 1))
-    return rows.select("doc_id", "copy", "line_no", F.xxhash64("item.words").alias("h"), F.col("item.words").alias("words"))
+    line = F.col("line")
+    spaced = F.when(F.octet_length(line) > F.length(line), F.regexp_replace(line, UNSPACED, " $1 ")).otherwise(line)
+    words = F.array_remove(F.split(spaced, r"[^\p{L}\p{M}\p{N}]+"), "")
+    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("copy"), F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("line_no", "line"))
+    # exploded from one element, as a filter would move below a plain projection and split every line twice
+    rows = rows.select("doc_id", "copy", "line_no", F.explode(F.array(words)).alias("words")).where(F.size("words") >= max(min_words, 1))
+    return rows.select("doc_id", "copy", "line_no", F.xxhash64("words").alias("h"), "words")
 
 
 def edits(size: Column, similarity: float) -> Column:
@@ -69,33 +65,45 @@ def word_marks(words: Column) -> Column:
     return F.transform(words, lambda w: F.call_function("shiftrightunsigned", F.xxhash64(w), F.least(F.length(w), F.lit(16))))
 
 
-def simhash_block(sample: Column, block: int) -> Column:
-    """The block of that number of a line's SimHash, 64 bits, from the marks of the words that may vote."""
-    # every block ranks the words by other bits of their marks
-    turn, low = 5 * block + 1, lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF))
-    ranked = F.transform(sample, lambda x: low(F.shiftleft(x, turn)).bitwiseOR(F.shiftrightunsigned(low(x), 32 - turn)))
-    voters = F.slice(F.sort_array(ranked), 1, VOTERS)
-
-    def majority(v: Column) -> Column:
-        bits = lambda x: x.bitwiseXOR(F.shiftleft(x, 32)).bitwiseXOR(F.shiftleft(x, 43))
-        a, b, c = (F.coalesce(bits(F.get(v, F.lit(i))), F.lit(0)) for i in range(VOTERS))
-        return a.bitwiseAND(b).bitwiseOR(a.bitwiseAND(c)).bitwiseOR(b.bitwiseAND(c))
+def word_codes(marks: Column) -> Column:
+    """One number per word that stands for it when edits are counted."""
+    return F.transform(marks, lambda mark: F.pmod(mark, F.lit(CODES)).cast("int"))
 
-    # a lambda's argument is evaluated once, an expression as often as it is named
-    return F.element_at(F.transform(F.array(voters), majority), 1)
 
+def majority(marks: list[Column]) -> Column:
+    """64 bits, each the majority of the bits of three marks."""
+    a, b, c = (x.bitwiseXOR(F.shiftleft(x, 21)).bitwiseXOR(F.shiftleft(x, 43)) for x in marks)
+    return a.bitwiseAND(b).bitwiseOR(a.bitwiseAND(c)).bitwiseOR(b.bitwiseAND(c))
 
-def line_blocks(marks: Column, similarity: float) -> Column:
-    """Keys of all blocks; none if the line is too short for an edit."""
-    sample = F.slice(F.sort_array(F.array_distinct(marks)), 1, SAMPLE)
-    every = F.transform(F.array(sample), lambda m: F.array(*[simhash_block(m, k) for k in range(block_count(similarity))]))
-    return F.when(edits(F.size(marks) + 1, similarity) > 0, F.element_at(every, 1)).otherwise(F.array().cast("array<long>"))
 
+def keyed_lines(marked: DataFrame, similarity: float) -> DataFrame:
+    """Lines with ``size``, ``code`` (their word codes) and ``keys`` (the blocks of their SimHash) in place of ``marks``.
 
-def word_codes(marks: Column) -> Column:
+    Lines too short for an edit have neither codes nor blocks. Every block orders the words that may vote by their
+    distance (exclusive or) from a point of its own, and the points lie apart, so an edit rarely meets two blocks.
+    Blocks come from sorts of small arrays, as Spark interprets functions of single elements one by one.
+    """
+    # the longer of two lines may have one word more
+    size, may_differ = F.size("marks"), edits(F.size("marks") + 1, similarity) > 0
+    count = block_count(similarity)
+    points = [int((k + 0.5) / count * (1 << 32)) for k in range(count)]
+    places = {f"s{i}": F.coalesce(F.get("sample", F.lit(i)).bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(1 << 40)) for i in range(SAMPLE)}
+    near = {f"v{k}": F.sort_array(F.array(*[F.col(s).bitwiseXOR(F.lit(p)) for s in places])) for k, p in enumerate(points)}
+    voters = {f"v{k}_{i}": F.coalesce(F.get(f"v{k}", F.lit(i)), F.lit(0)) for k in range(count) for i in range(VOTERS)}
+    keys = F.array(*[majority([F.col(f"v{k}_{i}") for i in range(VOTERS)]) for k in range(count)])
+    base = ["doc_id", "copy", "line_no", "h", "size"]
+    lines = marked.select(*base[:-1], size.alias("size"), "marks", may_differ.alias("open"), F.slice(F.sort_array(F.array_distinct("marks")), 1, SAMPLE).alias("sample"))
+    lines = lines.withColumns(places)
+    # the codes are interpreted, which keeps this step out of one large method that the JVM would not compile
+    lines = lines.select(*base, "open", F.when(F.col("open"), word_codes(F.col("marks"))).alias("code"), *[v.alias(k) for k, v in near.items()])
+    lines = lines.withColumns(voters)
+    return lines.select(*base, "code", F.when(F.col("open"), keys).otherwise(F.array().cast("array<long>")).alias("keys"))
+
+
+def code_text(codes: Column) -> Column:
     """One character per word, so that edit distance counts words."""
-    code = lambda mark: F.lpad(F.hex(F.pmod(mark, F.lit(CODES)) + FIRST_CODE), 8, "0")
-    return F.decode(F.unhex(F.array_join(F.transform(marks, code), "")), "UTF-32")
+    char = lambda code: F.lpad(F.hex(code + FIRST_CODE), 8, "0")
+    return F.decode(F.unhex(F.array_join(F.transform(codes, char), "")), "UTF-32")
 
 
 def similar(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -111,12 +119,9 @@ def line_groups(docs: DataFrame, min_words: int = 1, similarity: float = SIMILAR
     """
     if not 0.5 < similarity <= 1:
         raise ValueError("similarity must be over 0.5 and at most 1")
-    size, marks = F.size("marks"), F.col("marks")
-    may_differ = edits(size + 1, similarity) > 0  # the longer of two lines may have one word more
     marked = lines_of(docs, min_words).withColumn("marks", word_marks(F.col("words")))
     # texts are parsed once; lines keep their keys and word codes, never their text
-    keyed = marked.select("doc_id", "copy", "line_no", "h", size.alias("size"), line_blocks(marks, similarity).alias("keys"), F.when(may_differ, word_codes(marks)).alias("code"))
-    lines = cut_lineage(keyed)
+    lines = cut_lineage(keyed_lines(marked, similarity))
     place = F.struct("doc_id", "copy", "line_no")
     classes = cut_lineage(lines.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.first("size").alias("size"), F.first("keys").alias("keys")))
     blocks = classes.select(F.col("h").alias("id"), "size", F.lit(0).alias("mark"), F.posexplode("keys").alias("block", "key"))
@@ -127,7 +132,7 @@ def line_groups(docs: DataFrame, min_words: int = 1, similarity: float = SIMILAR
     bucket = F.pmod("h", F.lit(BUCKETS)).alias("bucket")
     near_codes = lines.where("code IS NOT NULL").select("doc_id", "copy", "line_no", "h", "code").withColumn("bucket", bucket)
     near_codes = near_codes.join(F.broadcast(wanted.select(bucket).distinct()), "bucket", "left_semi").drop("bucket")
-    codes = cut_lineage(near_codes.join(wanted, ["h", "doc_id", "copy", "line_no"], "left_semi").dropDuplicates(["h"]).select("h", "code"))
+    codes = cut_lineage(near_codes.join(wanted, ["h", "doc_id", "copy", "line_no"], "left_semi").dropDuplicates(["h"]).select("h", code_text(F.col("code")).alias("code")))
 
     def confirm(pairs: DataFrame) -> DataFrame:
         x = codes.select(F.col("h").alias("a"), F.col("code").alias("x"))
