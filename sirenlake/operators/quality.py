@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.semantics import round_even, strip
@@ -50,16 +50,19 @@ def data_completeness_pct(df: DataFrame, columns: Sequence[str] = QUALITY_COLUMN
     return df.withColumn("data_completeness_pct", round_even(share, 4))
 
 
-def validation_summary(df: DataFrame, years: tuple[int, int] = YEARS) -> DataFrame:
-    """Valid, invalid and total rows and the mean completeness, in one pass."""
-    checked = data_completeness_pct(validate_rules(df, years))
+def _summary_measures() -> list[Column]:
     bad = F.size("violations") > 0
-    return checked.agg(
+    return [
         F.count_if(~bad).alias("valid_count"),
         F.count_if(bad).alias("invalid_count"),
         F.count("*").alias("total_count"),
         round_even(F.coalesce(F.avg("data_completeness_pct"), F.lit(0.0)), 4).alias("mean_completeness"),
-    )
+    ]
+
+
+def validation_summary(df: DataFrame, years: tuple[int, int] = YEARS) -> DataFrame:
+    """Valid, invalid and total rows and the mean completeness, in one pass."""
+    return data_completeness_pct(validate_rules(df, years)).agg(*_summary_measures())
 
 
 def validation_errors(df: DataFrame, key: str = "incident_id", limit: int = 100, years: tuple[int, int] = YEARS) -> DataFrame:
@@ -77,6 +80,23 @@ def quarantine_split(df: DataFrame, years: tuple[int, int] = YEARS) -> tuple[Dat
     )
 
 
+def quarantine_write(df: DataFrame, path: str, years: tuple[int, int] = YEARS) -> dict[str, int | float]:
+    """Write valid and failing rows below ``path`` and return the measures of ``validation_summary``.
+
+    The rows are read and checked once: the measures are observed while one job writes both parts, the folders
+    ``is_valid=true`` and ``is_valid=false`` (Spark reads that column back as text). Failing rows keep their reasons in ``violations``, which is
+    empty for valid ones; ``is_valid`` and ``violations`` of the input are replaced. An empty table writes no
+    rows and gives zeros.
+    """
+    seen = Observation()
+    checked = data_completeness_pct(validate_rules(df, years)).observe(seen, *_summary_measures())
+    parts = checked.withColumn("is_valid", F.size("violations") == 0)
+    if "data_completeness_pct" not in df.columns:
+        parts = parts.drop("data_completeness_pct")
+    parts.write.mode("errorifexists").partitionBy("is_valid").parquet(path)
+    return seen.get
+
+
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing values per column, counted in one pass and unpivoted afterwards."""
     columns = list(columns or df.columns)

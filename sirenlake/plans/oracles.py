@@ -555,3 +555,4 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["vector_index_search"] = ORACLES["vector_topk"]  # the index finds what the full scan finds
+ORACLES["quarantine_write"] = ORACLES["validation_summary"]  # observed while writing, not aggregated

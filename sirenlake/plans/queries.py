@@ -173,6 +173,12 @@ def quarantine_split(s, d):
     return tables[0].unionByName(tables[1])
 
 
+def quarantine_write(s, d):
+    """The measures observed while valid and failing rows are written."""
+    seen = V.quarantine_write(X.dispatch_dirty(s, d), scratch_path(s, "quarantine"))
+    return s.createDataFrame([seen], "valid_count long, invalid_count long, total_count long, mean_completeness double")
+
+
 def many_to_one_guard(s, d):
     return V.many_to_one_guard(J.standardise_census(X.census(s, d), "ord"), J.KEY)
 
@@ -377,6 +383,11 @@ def tune_classifier(s, d):
     return C.tune_classifier(train, validation, trials=2)
 
 
+def halve_classifier(s, d):
+    train, validation, _ = _modelled(s, d)
+    return C.halve_classifier(train, validation, trials=4, rungs=2, keep=0.5)
+
+
 def predict_confidence(s, d):
     train, _, test = _modelled(s, d)
     scored = C.predict_confidence(C.train_classifier(train, **FOREST), test)
@@ -591,6 +602,7 @@ QUERIES: dict[str, Query] = {
     "null_profile": lambda s, d: V.null_profile(X.dispatch(s, d), ["incident_id", "priority_description", "call_type", "census_block_group", "latitude"]),
     "many_to_one_guard": many_to_one_guard,
     "quarantine_split": quarantine_split,
+    "quarantine_write": quarantine_write,
     # joins and set operations
     "normalise_geoid": normalise_geoid,
     "standardise_census": standardise_census,
@@ -674,6 +686,7 @@ QUERIES: dict[str, Query] = {
     "train_classifier": train_classifier,
     "boosted_classifier": boosted_classifier,
     "tune_classifier": tune_classifier,
+    "halve_classifier": halve_classifier,
     "predict_confidence": predict_confidence,
     "flag_disagreements": lambda s, d: _flagged(s, d).select("rid", "is_disagreement"),
     "confusion_matrix": lambda s, d: C.confusion_matrix(X.predictions(s, d), ["A", "N", "R"]),

@@ -92,6 +92,24 @@ def test_importance_and_tuning(spark, learnable):
     assert len(trials) == 2 and trials[0].macro_f1 >= trials[1].macro_f1 > 0.9
 
 
+def test_halving_finds_the_best_set_with_less_work(spark, learnable):
+    """Noisy numbers hide the label, so depth and trees matter; every rung keeps its best sets."""
+    hidden = {
+        name: learnable[name].withColumn("priority_code", F.lit("E")).withColumn("longitude", F.col("label_code") * 10 + F.rand(5) * 8).withColumn("latitude", F.rand(6))
+        for name in ("train", "validation")
+    }
+    got = classify.halve_classifier(hidden["train"], hidden["validation"], trials=6, rungs=2, keep=0.34).collect()
+    last, first = [r for r in got if r.rung == 1], [r for r in got if r.rung == 0]
+    assert len(first) == 6 and len(last) == 3 and all(r.share == 1.0 for r in last)
+    assert {r.trial for r in last} == {r.trial for r in sorted(first, key=lambda r: (-r.macro_f1, r.trial))[:3]}
+    full = {r.trial: r for r in classify.tune_classifier(hidden["train"], hidden["validation"], trials=6).collect()}
+    assert all(full[r.trial].macro_f1 == pytest.approx(r.macro_f1) and full[r.trial].num_trees == r.num_trees for r in last)
+    assert last[0].macro_f1 >= max(r.macro_f1 for r in full.values()) - 0.02
+    for bad in ({"rungs": 0}, {"keep": 1.0}):
+        with pytest.raises(ValueError):
+            classify.halve_classifier(hidden["train"], hidden["validation"], **bad)
+
+
 def test_many_labels_and_categories(spark):
     rows = 1200
     df = spark.range(rows).select(

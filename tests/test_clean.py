@@ -100,6 +100,22 @@ def test_quarantine_loses_no_row(spark, sf):
     assert quality.validation_summary(dirty).first().invalid_count == failing.count()
 
 
+def test_quarantine_write_observes_its_one_pass(spark, sf, tmp_path):
+    from sirenlake.plans import fixtures
+
+    dirty = fixtures.dispatch_dirty(spark, sf)
+    seen = quality.quarantine_write(dirty, str(tmp_path / "q"))
+    assert seen == quality.validation_summary(dirty).first().asDict()
+    back = spark.read.parquet(str(tmp_path / "q")).withColumn("is_valid", F.col("is_valid").cast("boolean"))
+    assert {r.is_valid: r["count"] for r in back.groupBy("is_valid").count().collect()} == {True: seen["valid_count"], False: seen["invalid_count"]}
+    assert back.where("is_valid = (size(violations) > 0)").isEmpty()
+    assert set(back.columns) == {*dirty.columns, "violations", "is_valid"}
+    want = quality.quarantine_split(dirty)[1]
+    assert back.where("NOT is_valid").select(want.columns).exceptAll(want).isEmpty()
+    empty = quality.quarantine_write(dirty.where("false"), str(tmp_path / "none"))
+    assert empty == {"valid_count": 0, "invalid_count": 0, "total_count": 0, "mean_completeness": 0.0}
+
+
 def test_derived_response_times_ignore_summer_time(spark):
     df = spark.createDataFrame(
         [("2020-03-08 01:30:00", "2020-03-08 03:00:00.5"), ("2020-01-01 00:00:00", "2020-01-01 03:00:00"), ("x", "2020-01-01 00:00:00")],

@@ -11,7 +11,7 @@ from sirenlake.plans.oracles import ORACLES
 from sirenlake.plans.queries import QUERIES
 
 EAGER = {
-    "model_io", "train_classifier", "boosted_classifier", "tune_classifier", "predict_confidence", "feature_importance", "score_saved_model", "feature_prep",
+    "model_io", "train_classifier", "boosted_classifier", "tune_classifier", "halve_classifier", "quarantine_write", "predict_confidence", "feature_importance", "score_saved_model", "feature_prep",
     "recursive_forecast", "gbt_lag_forecast", "read_documents", "isolation_forest_score", "geo_kpis", "cluster_summary", "assign_clusters",
 }
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
