@@ -10,7 +10,8 @@ in which a tenth of the words change, a block wide enough for large tables survi
 therefore lets only three words vote, the first in an order of its own among the twelve words that come first by
 their hashes and lengths (short words are common); a bit of the block is the majority of their
 bits. A block thus stays whole unless one of three words changes, and the number of blocks follows from the similarity: so many that at least
-one of them survives in 99 % of the pairs that only just reach it, if words were equally long. DataFrame operations only.
+one of them survives in 99 % of the pairs that only just reach it, if blocks broke independently and words were
+equally long (README has measured figures). DataFrame operations only.
 """
 
 from __future__ import annotations
