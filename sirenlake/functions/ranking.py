@@ -35,7 +35,8 @@ def hash_rank(df: DataFrame, groups: Sequence[str], key: str, name: str = "rank"
 
     The first hex digits split each group, however hot, into even slices: about as many as a slice of
     the whole table then has rows, so neither the slices nor the table of their counts grows too large.
-    Slice counts give the offset of a slice, so only slices are ever sorted.
+    Slice counts give the offset of a slice, so only slices are ever sorted. The offsets are written, so that
+    Spark knows their size and joins them without another shuffle of the rows while they are small.
     """
     groups = list(groups)
     digits = max(3, math.ceil(math.log(max(df.count(), 1), 16) / 2))
@@ -43,12 +44,12 @@ def hash_rank(df: DataFrame, groups: Sequence[str], key: str, name: str = "rank"
     per_slice = sliced.groupBy(*groups, "_slice").agg(F.count("*").alias("_n"))
     of_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     before = of_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slice.select(
+    offsets = cut_lineage(per_slice.select(
         *groups,
         "_slice",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(of_group).alias("group_size"),
-    )
+    ))
     in_slice = Window.partitionBy(*groups, "_slice").orderBy(key)
     return (
         _join_offsets(sliced, offsets, [*groups, "_slice"])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import round_even, strip
+from ..functions.session import cut_lineage
 
 DEFAULT_GROUP = "Unknown Problem"
 RARE_LABEL = "Other / Rare Call Type"
@@ -26,11 +27,12 @@ def map_call_group(
 ) -> DataFrame:
     """Exact lookup, then ordered all-keywords rules, then the default.
 
-    ``lookup`` is a table (call_key, call_group); it is joined, and Spark broadcasts it when its
-    size allows. The rules are configuration and become one CASE expression.
+    ``lookup`` is a table (call_key, call_group); it is written first, so that Spark knows its size and broadcasts
+    it when that allows, as a shuffle by call type would gather a frequent or missing type in one task. The rules are
+    configuration and become one CASE expression.
     """
     keyed = df.withColumn("_key", F.upper(strip(source)))
-    by_key = lookup.select(F.upper(strip("call_key")).alias("_key"), F.col("call_group").alias("_hit"))
+    by_key = cut_lineage(lookup.select(F.upper(strip("call_key")).alias("_key"), F.col("call_group").alias("_hit")))
 
     def applies(words: Sequence[str]) -> Column:
         return reduce(lambda a, b: a & b, [F.col("_key").contains(w) for w in words])
@@ -78,8 +80,8 @@ def collapse_long_tail(train: DataFrame, frames: Sequence[DataFrame], label: str
 
 
 def rare_label_group(df: DataFrame, label: str, min_rows: int = MIN_LABEL_ROWS, rare: str = RARE_LABEL) -> DataFrame:
-    """Labels with fewer than ``min_rows`` rows share one name; only the rare ones are joined."""
-    few = (
+    """Labels with fewer than ``min_rows`` rows share one name; only the rare ones are written and joined."""
+    few = cut_lineage(
         df.where(F.col(label).isNotNull())
         .groupBy(label)
         .agg(F.count("*").alias("_n"))
@@ -94,10 +96,10 @@ def rare_label_group(df: DataFrame, label: str, min_rows: int = MIN_LABEL_ROWS,
 
 
 def label_map(df: DataFrame, label: str, code: str = "label_code") -> DataFrame:
-    """Distinct labels in alphabetical order with codes from 0 (one row per class)."""
+    """Distinct labels in alphabetical order with codes from 0 (one row per class), written, so that its size is known."""
     classes = df.where(F.col(label).isNotNull()).select(label).distinct()
     in_order = Window.partitionBy(F.lit(0)).orderBy(label)
-    return classes.withColumn(code, (F.row_number().over(in_order) - 1).cast("int"))
+    return cut_lineage(classes.withColumn(code, (F.row_number().over(in_order) - 1).cast("int")))
 
 
 def label_encode(df: DataFrame, classes: DataFrame, label: str) -> DataFrame:

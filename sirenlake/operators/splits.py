@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import hash_rank, seeded_hash
 from ..functions.semantics import strip
+from ..functions.session import cut_lineage
 from .clean import quarter_label
 from .features import period_rank
 from .mapping import label_encode, label_map, rare_label_group
@@ -52,8 +53,12 @@ def split_frames(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def classifier_frame(df: DataFrame, ids: Sequence[str] = (), target: str = "call_type", min_rows: int = 8) -> DataFrame:
-    """Features and target without blank targets, rare labels grouped, labels coded."""
-    kept = df.select(*ids, *CLASSIFIER_FEATURES, strip(target).alias(target)).where(F.col(target) != "")
+    """Features and target without blank targets, rare labels grouped, labels coded.
+
+    The rows are written once, as counting the labels, coding them and the result each read them. The tables of
+    labels are written too, so their joins need no shuffle by label, which would gather a frequent one in one task.
+    """
+    kept = cut_lineage(df.select(*ids, *CLASSIFIER_FEATURES, strip(target).alias(target)).where(F.col(target) != ""))
     grouped = rare_label_group(kept, target, min_rows)
     return label_encode(grouped, label_map(grouped, target), target)
 

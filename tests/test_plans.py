@@ -5,8 +5,8 @@ import re
 import pytest
 from conftest import SF
 
-from sirenlake.operators import aggregates, clean
-from sirenlake.plans import fixtures
+from sirenlake.operators import aggregates, clean, splits
+from sirenlake.plans import fixtures, queries
 from sirenlake.plans.oracles import ORACLES
 from sirenlake.plans.queries import QUERIES
 
@@ -48,3 +48,12 @@ def test_overview_needs_one_shuffle_from_a_table(spark, tmp_path):
     fixtures.dispatch(spark, SF).write.parquet(str(tmp_path / "fact"))
     plan = physical(aggregates.overview_agg(spark.read.parquet(str(tmp_path / "fact"))))
     assert plan.count("Exchange") == 1
+
+
+def test_labels_and_slices_meet_their_tables_without_a_shuffle(spark):
+    """A shuffle by call type or label gathers a frequent one in one task; the only shuffle is by label and slice."""
+    coded = splits.classifier_frame(queries._mapped(spark, SF).drop("call_type"), ["incident_id"], "mpds_group")
+    assert "Exchange hashpartitioning" not in physical(coded) and "SortMergeJoin" not in physical(coded)
+    plan = physical(splits.stratified_split(coded, ["incident_id"], "label_code"))
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    assert "SortMergeJoin" not in physical(queries._mapped(spark, SF))
