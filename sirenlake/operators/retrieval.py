@@ -65,28 +65,35 @@ def keyword_rank(
 
     A term is plain letters and digits, so it can only occur inside a token of the text. Terms
     are matched against the vocabulary (joined on three-letter pieces), not against every text,
-    and documents meet the matches on the token. Top-k is cut inside each task before the shuffle.
+    and documents meet the matches on the token. The matches then go by document, where everything up to the
+    top-k inside each task happens without another shuffle; terms are numbered and written, so Spark knows how small they are.
     """
-    terms = query_terms(queries, query_id, question)
+    terms = cut_lineage(query_terms(queries, query_id, question))
+    numbered = cut_lineage(terms.select("term").distinct().withColumn("term_no", F.monotonically_increasing_id()))
     text = F.lower(F.concat_ws(" ", *fields))
-    found_tokens = F.regexp_extract_all(text, F.lit("[a-z0-9]{3,}"), F.lit(0))
-    tokens = unnest(documents.withColumnRenamed(doc_id, "doc_id"), ["doc_id"], found_tokens, "token").drop("position")
-    vocabulary = unnest(tokens.select("token").distinct(), ["token"], _grams(F.col("token")), "gram").drop("position")
-    wanted = terms.select("term").distinct().withColumn("gram", F.substring("term", 1, GRAM))
+
+    def tokens(texts: DataFrame) -> DataFrame:
+        return unnest(texts, ["doc_id"], F.regexp_extract_all("text", F.lit("[a-z0-9]{3,}"), F.lit(0)), "token").drop("position")
+
+    texts = documents.select(F.col(doc_id).alias("doc_id"), text.alias("text"))
+    vocabulary = unnest(tokens(texts).select("token").distinct(), ["token"], _grams(F.col("token")), "gram").drop("position")
+    wanted = numbered.withColumn("gram", F.substring("term", 1, GRAM))
     times = (F.length("token") - F.length(F.replace(F.col("token"), F.col("term"), F.lit("")))) / F.length("term")
-    matches = (
+    matches = cut_lineage(
         vocabulary.join(wanted, "gram")
         .where(F.contains("token", "term"))
-        .select("token", "term", times.cast("bigint").alias("hits"))
+        .select("token", "term_no", times.cast("bigint").alias("hits"))
     )
     found = (
-        tokens.groupBy("doc_id", "token").agg(F.count("*").alias("tf"))
+        tokens(texts.repartition("doc_id")).groupBy("doc_id", "token").agg(F.count("*").alias("tf"))
         .join(matches, "token")
-        .groupBy("doc_id", "term")
-        .agg(F.sum(F.col("tf") * F.col("hits")).alias("hits"))
+        .select("doc_id", "term_no", (F.col("tf") * F.col("hits")).alias("hits"))
+        .repartition("doc_id")
+        .groupBy("doc_id", "term_no")
+        .agg(F.sum("hits").alias("hits"))
     )
     scored = (
-        found.join(terms, "term")
+        found.join(cut_lineage(terms.join(numbered, "term").drop("term")), "term_no")
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("hits") * F.col("times")).alias("hits"), F.count_if("lead").alias("leads_found"), F.max("leads").alias("leads"))
         .withColumn("score", F.col("hits") + F.when(F.col("leads_found") == F.col("leads"), 5).otherwise(0))

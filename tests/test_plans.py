@@ -57,3 +57,9 @@ def test_labels_and_slices_meet_their_tables_without_a_shuffle(spark):
     plan = physical(splits.stratified_split(coded, ["incident_id"], "label_code"))
     assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
     assert "SortMergeJoin" not in physical(queries._mapped(spark, SF))
+
+
+def test_keyword_hits_and_scores_are_summed_without_a_shuffle_of_their_own(spark):
+    plan = physical(QUERIES["keyword_rank"](spark, SF))
+    by = [re.findall(r"([a-z_]+)#", keys) for keys in re.findall(r"Exchange hashpartitioning\((.*?)\)", plan)]
+    assert ["doc_id"] in by and ["token"] in by and not any(len(keys) > 1 for keys in by), by
