@@ -170,8 +170,8 @@ def _scored(candidates: DataFrame, trees: GBTClassificationModel) -> DataFrame:
     return trees.transform(packed).withColumn("score", vector_to_array("probability")[1])
 
 
-def fit_spans(candidates: DataFrame, rows: int = 20000, precision: float = 0.95, floor: float = 0.5, seed: int = 1) -> SpanModel:
-    """Fit on at most ``rows`` candidates, the first by a hash of document and place; calibrate on a quarter of them.
+def fit_spans(candidates: DataFrame, precision: float = 0.95, floor: float = 0.5, seed: int = 1) -> SpanModel:
+    """Fit on all labelled candidates but a quarter, by a hash of document and place, on which to calibrate.
 
     A candidate is positive if a base span of its kind confirms it or if it is a rewritten base span, negative if
     it fails its check or lies in a base span of another kind; others are not labelled. A
@@ -181,15 +181,22 @@ def fit_spans(candidates: DataFrame, rows: int = 20000, precision: float = 0.95,
     known = candidates.where(~F.col("base") & (F.col("confirmed") | F.col("touches") | (F.col("checks") == 0)))
     known = known.unionByName(rewritten(candidates)).withColumn("label", F.col("confirmed").cast("double"))
     turn = F.xxhash64(F.lit(seed), "doc_id", "copy", "kind", "start")
-    sample = cut_lineage(known.select("kind", "label", turn.alias("turn"), *FEATURES).orderBy("turn").limit(rows))
-    fit, check = sample.where(F.pmod("turn", F.lit(4)) != 0), sample.where(F.pmod("turn", F.lit(4)) == 0)
+    # dealt and sorted by the hash, as the trees draw their bins from rows in their order
+    labelled = cut_lineage(known.select("kind", "label", turn.alias("turn"), *FEATURES).repartition("turn").sortWithinPartitions("turn", "kind", "label", *FEATURES))
+    fit, check = labelled.where(F.pmod("turn", F.lit(4)) != 0), labelled.where(F.pmod("turn", F.lit(4)) == 0)
     if fit.select("label").distinct().count() < 2:
         return SpanModel(None, {})
     packed = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(fit)
-    trees = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, maxBins=32, seed=seed, labelCol="label").fit(packed.coalesce(8))
-    up = Window.partitionBy("kind").orderBy(F.col("score").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    level = _scored(check, trees).withColumn("share", F.avg("label").over(up)).where((F.col("share") >= precision) & (F.col("score") >= floor))
-    return SpanModel(trees, {r["kind"]: r["t"] for r in level.groupBy("kind").agg(F.min("score").alias("t")).collect()})
+    trees = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, maxBins=32, seed=seed, labelCol="label").fit(packed)
+    return SpanModel(trees, span_thresholds(_scored(check, trees), precision, floor))
+
+
+def span_thresholds(scored: DataFrame, precision: float, floor: float) -> dict[str, float]:
+    """The least score of every kind from which on the share of positive rows reaches ``precision``; equal scores are counted first."""
+    scores = scored.groupBy("kind", "score").agg(F.count("*").alias("n"), F.sum("label").alias("positive"))
+    up = Window.partitionBy("kind").orderBy(F.col("score").desc())
+    level = scores.withColumn("share", F.sum("positive").over(up) / F.sum("n").over(up)).where((F.col("share") >= precision) & (F.col("score") >= floor))
+    return {r["kind"]: r["t"] for r in level.groupBy("kind").agg(F.min("score").alias("t")).collect()}
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:

@@ -408,3 +408,31 @@ def test_importance_weights_in_plain_python(spark, documents, texts, monkeypatch
     ratio = {b: math.log((target[b] + 1) / of_target) - math.log((raw[b] + 1) / of_raw) for b in raw}
     for r in importance.resample(documents, labels).collect():
         assert r["log_weight"] == pytest.approx(sum(ratio[b] for b in buckets[r["doc_id"]]), abs=1e-6)
+
+
+def test_pii_trees_see_every_labelled_candidate(spark, monkeypatch):
+    """24,000 labelled spans of 8,000 addresses and one number that fails its check; a quarter calibrates."""
+    seen = []
+
+    class Recorder:
+        def __init__(self, **options):
+            pass
+
+        def fit(self, rows):
+            seen.append(rows.count())
+            raise InterruptedError
+
+    monkeypatch.setattr(pii, "GBTClassifier", Recorder)
+    docs = spark.range(8000).selectExpr("id AS doc_id", "concat('mail u', id, '@example.org') AS text")
+    docs = docs.union(spark.createDataFrame([(-i, "host 999.1.1.1 is down") for i in range(1, 20)], docs.schema))
+    with pytest.raises(InterruptedError):
+        pii.find_personal_data(docs)
+    assert 17_500 < seen[0] < 18_500
+
+
+def test_pii_thresholds_count_equal_scores_together(spark):
+    rows = [("email", s, float(p)) for s, p in [(0.9, 1), (0.9, 1), (0.8, 1), (0.8, 0), (0.8, 1), (0.7, 1), (0.3, 1)]] + [("ip", 0.9, 0.0), ("ip", 0.8, 1.0)]
+    scored = spark.createDataFrame(rows, "kind string, score double, label double")
+    assert pii.span_thresholds(scored, 0.8, 0.5) == {"email": 0.7}
+    assert pii.span_thresholds(scored, 0.85, 0.5) == {"email": 0.9}
+    assert pii.span_thresholds(scored, 0.5, 0.5) == {"email": 0.7, "ip": 0.8}
