@@ -95,19 +95,18 @@ def plan_mix(
     rows = docs.count()
     digits = math.ceil(math.log(max(math.sqrt(rows), 1), 16)) if rows > 1 else 0
     sized = sized.withColumn("_slice", F.substring("_key", 1, digits))
-    slices = sized.groupBy("source", "_slice").agg(F.sum("_size").alias("words"))
+    # one key for source and slice, never NULL: the window and the join below then share one shuffle of the texts
+    sized = sized.withColumn("_bin", F.concat("_slice", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))))
+    slices = sized.groupBy("source", "_slice", "_bin").agg(F.sum("_size").alias("words"))
     in_source = Window.partitionBy("source")
     before = in_source.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.select("source", "_slice", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("_before"), F.sum("words").over(in_source).alias("_source_size"))
+    slices = slices.select("source", "_bin", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("_before"), F.sum("words").over(in_source).alias("_source_size"))
     targets = source_targets(slices.groupBy("source").agg(F.max("_source_size").alias("source_size")), weights, share, limit)
     targets = targets.select(F.col("source").alias("_s"), F.col("target").alias("_target"), "turn")
-    places = slices.join(targets, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    places = places.withColumnsRenamed({"source": "_s", "_slice": "_l"})
-    in_slice = Window.partitionBy("source", "_slice").orderBy("_key", "doc_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        sized.join(places, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_slice") == F.col("_l")))
-        .withColumn("_place", F.col("_before") + F.coalesce(F.sum("_size").over(in_slice), F.lit(0)))
-    )
+    places = slices.join(targets, F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "source")
+    in_slice = Window.partitionBy("_bin").orderBy("_key", "doc_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    within = sized.withColumn("_within", F.coalesce(F.sum("_size").over(in_slice), F.lit(0)))
+    placed = within.join(places, "_bin").withColumn("_place", F.col("_before") + F.col("_within"))
     budget = F.floor(F.col("_target"))
     copies = []
     for epoch in range(math.ceil(limit)):
@@ -119,7 +118,7 @@ def plan_mix(
             position = F.when(F.col("turn") == turn, invert_schedule(demand, schedules[turn % len(schedules)])).otherwise(position)
         copies.append(F.struct(F.lit(epoch).alias("epoch"), words.alias("words"), position.alias("position")))
     taken = F.filter(F.array(*copies), lambda c: c["words"] > 0)
-    return placed.withColumn("_takes", taken).drop("_key", "_slice", "_l", "_s", "_before", "_place", "turn")
+    return placed.withColumn("_takes", taken).drop("_key", "_slice", "_bin", "_within", "_before", "_place", "turn")
 
 
 def taken_words(planned: DataFrame) -> DataFrame:

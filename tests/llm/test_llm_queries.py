@@ -7,6 +7,7 @@ import pytest
 from conftest import SF
 
 import corpus_pipeline
+from sirenlake.llm import mixing
 from sirenlake.llm.oracles import LLM_ORACLES
 from sirenlake.llm.queries import LLM_QUERIES
 
@@ -61,3 +62,16 @@ def test_pipeline_from_stage_to_stage(spark):
         assert set(r["text"].split("\n")) <= set(given[r["doc_id"]]["text"].split("\n"))
     toxic = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1").collect()}
     assert len(toxic & {r["doc_id"] for r in out}) <= 0.2 * len(toxic)
+
+
+def test_mixing_shuffles_the_texts_twice_at_most(spark):
+    """Once by source and slice, once by training position; joins to tables that are not broadcast add no shuffle."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mixed = mixing.mixed_documents(mixing.plan_mix(docs), docs.columns)
+        plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(mixed._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    carried = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan)
+    assert sum("text#" in columns for columns in carried) == 2, carried
