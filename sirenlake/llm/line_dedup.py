@@ -113,6 +113,29 @@ def similar(pairs: DataFrame, similarity: float) -> DataFrame:
     return texts.where(F.expr("levenshtein(x, y, edits)") >= 0).select("a", "b")
 
 
+def may_be_similar(size: str, mark: str, other_size: str, other_mark: str, similarity: float) -> Column:
+    """Can two lines be similar whose first common words are those at ``mark`` and ``other_mark``? Only what follows can be shared too."""
+    longer = F.greatest(size, other_size)
+    return F.least(F.col(size) - F.col(mark), F.col(other_size) - F.col(other_mark)) + 1 >= longer - edits(longer, similarity)
+
+
+def prefix_bands(members: DataFrame, codes: DataFrame, similarity: float) -> DataFrame:
+    """``members`` of bands anew, one band for each of a line's rarest words, whose place in the line's order is ``mark``.
+
+    A line's words are ordered by how many of these lines have them, the n-th occurrence of a word being a word of
+    its own. Similar lines share all words but the edits, so one of the first edits + 1 words of each is the same
+    and no link is lost; lines that share voters, but no rare word, are not compared.
+    """
+    words = codes.join(members.select("id").distinct(), F.col("h") == F.col("id"), "left_semi").select("h", F.explode(F.split("code", "")).alias("word"))
+    times = words.groupBy("h", "word").agg(F.count("*").cast("int").alias("times"))
+    words = cut_lineage(times.select(F.col("h").alias("id"), F.explode(F.transform(F.sequence(F.lit(1), F.col("times")), lambda i: F.xxhash64("word", i))).alias("word")))
+    common = words.groupBy("word").agg(F.count("*").alias("df"))
+    ordered = words.join(common, "word").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("words"))
+    first = F.slice("words", 1, edits(F.size("words"), similarity) + 1)
+    rare = cut_lineage(ordered.select("id", F.posexplode(first).alias("place", "w")).where("w.df > 1").select("id", "w.word", (F.col("place") + 1).alias("mark")))
+    return members.select("id", "size").distinct().join(rare, "id").select(F.col("word").alias("band"), "id", "size", "mark")
+
+
 def line_groups(docs: DataFrame, min_words: int = 1, similarity: float = SIMILARITY) -> DataFrame:
     """Lines of groups with several: ``doc_id``, ``copy``, ``line_no``, ``group`` and ``first`` (is it the one that stays).
 
@@ -125,9 +148,9 @@ def line_groups(docs: DataFrame, min_words: int = 1, similarity: float = SIMILAR
     lines = cut_lineage(keyed_lines(marked, similarity))
     place = F.struct("doc_id", "copy", "line_no")
     classes = cut_lineage(lines.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.first("size").alias("size"), F.first("keys").alias("keys")))
-    blocks = classes.select(F.col("h").alias("id"), "size", F.lit(0).alias("mark"), F.posexplode("keys").alias("block", "key"))
+    blocks = classes.select(F.col("h").alias("id"), "size", F.lit(1).alias("mark"), F.posexplode("keys").alias("block", "key"))
     members = shared_bands(blocks.select("id", "size", "mark", F.xxhash64("block", "key").alias("band")))
-    ratio = F.least("size", "other_size") >= F.greatest("size", "other_size") * similarity - 1e-9
+    near = may_be_similar("size", "mark", "other_size", "other_mark", similarity)
     wanted = cut_lineage(members.select(F.col("id").alias("h")).distinct().join(classes, "h").select("h", "first.*"))
     # at most BUCKETS numbers, so small enough for a broadcast; they spare most other lines the shuffle
     bucket = F.pmod("h", F.lit(BUCKETS)).alias("bucket")
@@ -140,7 +163,7 @@ def line_groups(docs: DataFrame, min_words: int = 1, similarity: float = SIMILAR
         y = codes.select(F.col("h").alias("b"), F.col("code").alias("y"))
         return similar(pairs.join(x, "a").join(y, "b"), similarity)
 
-    components = link(members, confirm, ratio)
+    components = link(members, confirm, near, lambda open_members: prefix_bands(open_members, codes, similarity))
     grouped = classes.join(components.withColumnRenamed("id", "h"), "h", "left")
     grouped = cut_lineage(grouped.select("h", F.coalesce("component_id", "h").alias("group"), "n", "first"))
     kept = grouped.groupBy("group").agg(F.sum("n").alias("of"), F.min("first").alias("first"))

@@ -40,9 +40,9 @@ def link(
 
     First, bands of up to SMALL items compare all their pairs and are done; items of larger bands are
     compared with the band's first item. Bands in which all are then in one component are done, too.
-    ``refine`` may give the items of the others new bands in which all their links still meet.
+    ``refine`` may give the items of the others (``band``, ``id``, ``size``, ``mark``) new bands in which all their links still meet.
     Further rounds compare only items of different components: small bands all of them, larger ones their
-    leaders with all others, 16 at first, four times as many each round, those of the smallest components
+    leaders with all others, four at first, four times as many each round, those of the smallest components
     first. Leaders then leave the band, so rounds end for every band and no pair of different components
     is left out, while a large group of copies costs about one comparison per item.
     """
@@ -60,12 +60,12 @@ def link(
     open_bands = large.withColumn("lead", F.col("first.id")).join(unsettled, ["id", "lead"], "left_semi").select("band").distinct()
     members = cut_lineage(large.join(open_bands, "band", "left_semi").select("band", "id", "size", "mark"))
     if refine is not None:
-        members = refine(members.select("id").distinct())
+        members = refine(members)
     members = _components_of(members, components, "id", "component")
 
     apart = (F.col("a") != F.col("b")) & (F.col("component") != F.col("other")) & near
     other = ("band", *other, F.col("component").alias("other"))
-    leaders = 16
+    leaders = 4
     while True:
         stats = members.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
         members = cut_lineage(members.join(stats.where("low < high").select("band", "n"), "band"))

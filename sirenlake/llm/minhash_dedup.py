@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     rest = F.least(F.col("size") - F.col("mark"), F.col("other_size") - F.col("other_mark")) + 1
     near = rest * (100 + percent) >= (F.col("size") + F.col("other_size")) * percent
     # large groups of half similar texts share bands, but few rare shingles
-    refine = lambda ids: _prefixes(sets.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), percent)
+    refine = lambda members: _prefixes(sets.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), percent)
     components = link(members, lambda pairs: _confirmed(pairs, sets, percent), near, refine)
     of_class = cut_lineage(classes.join(components, "id", "left").select("set_key", F.col("lead.doc_id").alias("low"), F.coalesce("component_id", "id").alias("component")))
     merged = connected_components(same_id_edges(usable, of_class)).select(F.col("id").alias("component"), F.col("component_id").alias("root"))

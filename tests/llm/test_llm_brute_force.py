@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 from sirenlake.llm import bm25_search, embedding_dedup, importance, line_dedup, minhash_dedup, pii, sentencepiece_scan, toxicity
 from sirenlake.llm.common import connected_components
@@ -436,3 +437,44 @@ def test_pii_thresholds_count_equal_scores_together(spark):
     assert pii.span_thresholds(scored, 0.8, 0.5) == {"email": 0.7}
     assert pii.span_thresholds(scored, 0.85, 0.5) == {"email": 0.9}
     assert pii.span_thresholds(scored, 0.5, 0.5) == {"email": 0.7, "ip": 0.8}
+
+
+def test_lines_that_share_blocks_but_no_rare_words_are_not_compared(spark, monkeypatch):
+    """All lines have the same twelve longest words and so all blocks in common; only those of a few families are similar."""
+    rng = random.Random(5)
+    shared = [f"{i:02d}longestwordsofall" for i in range(12)]
+    lines = [shared + [f"w{rng.randrange(100_000)}" for _ in range(30)] for _ in range(120)]
+    for i in range(0, 40, 2):  # a twin with four words changed, the same ones deleted or put elsewhere
+        twin = list(lines[i])
+        for at in rng.sample(range(12, 42), 4):
+            twin[at] = f"x{rng.randrange(100_000)}"
+        lines.append(twin)
+    compared = []
+
+    def counted(pairs, similarity, plain=line_dedup.similar):
+        compared.append(pairs.count())
+        return plain(pairs, similarity)
+
+    monkeypatch.setattr(line_dedup, "similar", counted)
+    docs = spark.createDataFrame([(i, " ".join(line)) for i, line in enumerate(lines)], "doc_id long, text string")
+    groups = {}
+    for r in line_dedup.line_groups(docs).collect():
+        groups.setdefault(r["group"], set()).add(r["doc_id"])
+    assert sorted(map(sorted, groups.values())) == [[i, 120 + i // 2] for i in range(0, 40, 2)]
+    assert sum(compared) < 10 * len(lines), compared  # all pairs would be 9,730
+
+
+def test_rare_word_bands_lose_no_similar_pair(spark):
+    rng = random.Random(8)
+    lines = [[rng.choice("abcdefgh") for _ in range(rng.randint(10, 30))] for _ in range(40)]
+    for line in lines[:25]:
+        lines.append([rng.choice("abcdefgh") if rng.random() < 0.07 else w for w in line if rng.random() < 0.97])
+    codes = spark.createDataFrame([(i, "".join(line)) for i, line in enumerate(lines)], "h long, code string")
+    members = spark.createDataFrame([(7, i, len(line), 1) for i, line in enumerate(lines)], "band long, id long, size int, mark int")
+    bands = line_dedup.prefix_bands(members, codes, 0.9)
+    a, b = (bands.select("band", *[F.col(c).alias(f"{c}{k}") for c in ("id", "size", "mark")]) for k in (1, 2))
+    meet = a.join(b, "band").where((F.col("id1") < F.col("id2")) & line_dedup.may_be_similar("size1", "mark1", "size2", "mark2", 0.9))
+    met = {(r["id1"], r["id2"]) for r in meet.collect()}
+    x, y = (codes.select(F.col("h").alias(h), F.col("code").alias(c)) for h, c in (("a", "x"), ("b", "y")))
+    wanted = {(r["a"], r["b"]) for r in line_dedup.similar(x.join(y, F.col("a") < F.col("b")), 0.9).collect()}
+    assert len(wanted) >= 10 and wanted <= met
