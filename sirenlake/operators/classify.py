@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import hash_int, hash_rank, seeded_hash
 from ..functions.semantics import count_where, drop_null_keys, ratio, round_even
+from ..functions.session import spread
 from .aggregates import _band
 
 CATEGORICAL = ["priority_code", "priority_description", "quarter", "city_code", "service_type"]
@@ -23,6 +24,7 @@ CONFIDENT = 0.7
 THRESHOLDS = (0.5, 0.6, 0.7, 0.8, 0.9)
 ERROR_SHARE = 0.05
 MISSING = "__MISSING__"
+TASK_ROWS = 100_000  # training rows that a task keeps and passes over for every level of the trees
 
 
 # Fitting
@@ -80,7 +82,8 @@ def train_classifier(train: DataFrame, label: str = "label_code", balanced: bool
         columns.append(weight)
     prep = Pipeline(stages=feature_prep()).fit(as_numbers(train))
     data = nominal_label(data, label)
-    trees = make_classifier(kind, label, weight, **({"maxBins": bins_for(prep)} | params)).fit(prep.transform(data).select(*columns))
+    rows = spread(prep.transform(data).select(*columns), TASK_ROWS)
+    trees = make_classifier(kind, label, weight, **({"maxBins": bins_for(prep)} | params)).fit(rows)
     return PipelineModel([*prep.stages, trees])
 
 
@@ -130,8 +133,8 @@ def tune_classifier(train: DataFrame, validation: DataFrame, label: str = "label
     Features are prepared once; ``fitMultiple`` fits the candidates on the shared frame.
     """
     prep = Pipeline(stages=feature_prep()).fit(as_numbers(train))
-    fit_on = prep.transform(nominal_label(as_numbers(train), label)).select("features", label).persist()
-    score_on = prep.transform(as_numbers(validation)).select("features", label).persist()
+    fit_on = spread(prep.transform(nominal_label(as_numbers(train), label)).select("features", label), TASK_ROWS).persist()
+    score_on = spread(prep.transform(as_numbers(validation)).select("features", label), TASK_ROWS).persist()
     base = make_classifier(label=label, seed=seed, maxBins=bins_for(prep))
     samples = parameter_samples(trials, seed)
     maps = [{base.getParam(k): v for k, v in s.items()} for s in samples]
@@ -160,8 +163,9 @@ def halve_classifier(
         raise ValueError("rungs must be positive and keep between 0 and 1")
     place = F.pmod(F.xxhash64(F.lit(seed), *train.columns), F.lit(1 << 30)) / (1 << 30)
     prep = Pipeline(stages=feature_prep()).fit(as_numbers(train))
-    fit_on = prep.transform(nominal_label(as_numbers(train.withColumn("_place", place)), label)).select("features", label, "_place").persist()
-    score_on = prep.transform(as_numbers(validation)).select("features", label).persist()
+    fit_on = prep.transform(nominal_label(as_numbers(train.withColumn("_place", place)), label)).select("features", label, "_place")
+    fit_on = spread(fit_on, TASK_ROWS).persist()
+    score_on = spread(prep.transform(as_numbers(validation)).select("features", label), TASK_ROWS).persist()
     base = make_classifier(label=label, seed=seed, maxBins=bins_for(prep))
     left, rows = dict(enumerate(parameter_samples(trials, seed))), []
     for rung in range(rungs):

@@ -120,3 +120,26 @@ def test_many_labels_and_categories(spark):
     model = classify.train_classifier(df, numTrees=2, maxDepth=3)
     assert model.stages[-1].numClasses == 120
     assert classify.predict_confidence(model, df).count() == rows
+
+
+def test_trees_are_fit_on_rows_dealt_evenly_to_tasks(spark, monkeypatch):
+    """However few files a table has, no task keeps more rows than its share."""
+    rows = [(i % 3, f"c{i % 4}", float(i % 50), float(i % 7), 1.0, 1996) for i in range(2000)]
+    train = spark.createDataFrame(rows, "label_code int, city_code string, longitude double, latitude double, completeness_score double, year int")
+    for c in ("priority_code", "priority_description", "quarter", "service_type"):
+        train = train.withColumn(c, F.lit("x"))
+    monkeypatch.setattr(classify, "TASK_ROWS", 100, raising=False)
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    class Trees:
+        def fit(self, data):
+            seen.extend(r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect())
+            raise Stop
+
+    monkeypatch.setattr(classify, "make_classifier", lambda *a, **k: Trees())
+    with pytest.raises(Stop):
+        classify.train_classifier(train.coalesce(1))
+    assert sum(seen) == 2000 and len(seen) == 20 and max(seen) <= 110, seen
