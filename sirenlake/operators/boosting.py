@@ -1,7 +1,7 @@
 """Multiclass boosted trees: one tree per round for all classes, softmax gradients, early stopping.
 
 Every round adds one tree whose leaves hold a value per class. A level of the tree takes one aggregate over the
-training rows, sums of gradients and curvatures by (node, feature, bin), so the driver sees tables whose size
+training rows (below the root over the smaller child of each node, as the other one is what is left), sums of gradients and curvatures by (node, feature, bin), so the driver sees tables whose size
 depends on nodes, features, bins and classes and not on the rows. The scores of the rows are written to the
 shared folder after every round; a lost executor reads them again. The rounds end when the loss of the validation
 rows has not fallen for ``patience`` rounds, and the model keeps the rounds up to the best one.
@@ -19,8 +19,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.session import cut_lineage
-from .classify import CATEGORICAL, NUMERIC, as_numbers, class_weights, feature_prep
+from ..functions.session import cut_lineage, spread
+from .classify import CATEGORICAL, NUMERIC, TASK_ROWS, as_numbers, class_weights, feature_prep
 
 LEAST_GAIN = 1e-7
 
@@ -163,13 +163,17 @@ def _best_split(cells: np.ndarray, l2: float, min_rows: int) -> tuple[float, int
 def grow_tree(state: DataFrame, classes: int, features: int, bins: int, depth: int, rate: float, l2: float, min_rows: int) -> tuple[Tree, np.ndarray]:
     """A tree over the current gradients, level by level, and the gain of every feature."""
     tree, gains = Tree(), np.zeros(features)
-    open_nodes, sums = {0}, {}
+    open_nodes, sums, parents = {0}, {}, {}
+    sibling = lambda n: n + 1 if n % 2 else n - 1
     for _ in range(depth):
-        number = lambda n: F.lit(n if n in open_nodes else None).cast("int")  # noqa: B023, E731
-        cells: dict[int, np.ndarray] = {}
+        # of two children the one with fewer rows is summed; the other one is what is left of their parent
+        summed = {n for n in open_nodes if n == 0 or (sums[n][0], n) < (sums[sibling(n)][0], sibling(n))}
+        number = lambda n: F.lit(n if n in summed else None).cast("int")  # noqa: B023, E731
+        cells: dict[int, np.ndarray] = {n: np.zeros((features, bins, 1 + 2 * classes)) for n in summed}
         for r in histograms(state, tree.expression(F.col("bins"), number), classes).collect():
-            of_node = cells.setdefault(r["node"], np.zeros((features, bins, 1 + 2 * classes)))
-            of_node[r["feature"], r["bin"]] = r[3:]
+            cells[r["node"]][r["feature"], r["bin"]] = r[3:]
+        cells |= {n: parents[(n - 1) // 2] - cells[sibling(n)] for n in open_nodes - summed}
+        parents = cells
         following = set()
         for node, table in sorted(cells.items()):
             sums.setdefault(node, table[0].sum(axis=0))
@@ -223,7 +227,7 @@ def fit_boosted(
         rows = prep.transform(as_numbers(df.where(F.col(label).isNotNull()))).select(x, F.col(label).cast("int").alias("y"))
         return rows.withColumns({"w": weight, "held_out": F.lit(held_out)}).where("w IS NOT NULL")
 
-    both = cut_lineage(prepared(train, False).unionByName(prepared(validation, True)))
+    both = cut_lineage(spread(prepared(train, False).unionByName(prepared(validation, True)), TASK_ROWS))
     edges = bin_edges(both.where("NOT held_out"), features, bins)
     binned = F.array(*[_bin(F.col("x")[i], e) for i, e in enumerate(edges)])
     state = cut_lineage(both.select(binned.alias("bins"), "y", "w", "held_out", F.array(*map(F.lit, start)).alias("score")))

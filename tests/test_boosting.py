@@ -122,3 +122,24 @@ def test_labels_that_miss(spark, tables):
     odd = train.where("id < 400").withColumn("label_code", F.when(F.col("id") % 5 > 0, F.col("label_code") % 2 * 2))  # NULLs, and no class 1
     some = boosting.fit_boosted(odd, validation.withColumn("label_code", F.col("label_code") % 3), rounds=2, depth=2)
     assert classify.predict_confidence(some, validation).where("predicted_code = 1").isEmpty()
+
+
+def test_only_the_smaller_children_are_summed(spark, tables, monkeypatch):
+    """Levels below the root look at half of the rows at most; the tree is the one that sums of all children give."""
+    bins = F.array(*[F.floor(F.col(c) * 8).cast("int") for c in ("longitude", "latitude")])
+    state = tables[0].select(bins.alias("bins"), F.col("label_code").alias("y"), F.lit(1.0).alias("w"), F.lit(False).alias("held_out"), F.array_repeat(F.lit(0.0), 9).alias("score")).persist()
+    looked_at = []
+
+    def counted(*args, plain=boosting.histograms):
+        out = plain(*args)
+        looked_at.append(out.where("feature = 0").agg(F.sum("n")).first()[0])
+        return out
+
+    monkeypatch.setattr(boosting, "histograms", counted)
+    tree, _ = boosting.grow_tree(state, 9, 2, 9, 3, 1.0, 1.0, 1)
+    rows = state.count()
+    state = state.withColumn("leaf", tree.expression(F.col("bins"), F.lit))
+    assert looked_at[0] == rows and len(looked_at) == 3 and max(looked_at[1:]) <= rows / 2, (rows, looked_at)
+    for r in state.groupBy("leaf").agg(F.count("*").alias("n"), *[F.count_if(F.col("y") == k).alias(f"c{k}") for k in range(9)]).collect():
+        for k in range(9):
+            assert tree.leaves[r["leaf"]][k] == pytest.approx(-(r["n"] / 9 - r[f"c{k}"]) / (r["n"] * 8 / 81 + 1.0), rel=1e-6, abs=1e-9)
