@@ -30,6 +30,7 @@ BUCKETS = 1 << 20
 FIRST_CODE, CODES = 0x10000, 0xF0000  # code points that stand for words
 SAMPLE = 12  # words of a line that may vote
 VOTERS = 3  # words that decide a block
+BITS = 8  # numbers of 64 bits that stand for a line's words
 SURVIVAL = 0.99  # share of pairs at the similarity of which a block survives
 # Thai, Lao, Myanmar, Khmer, kana and Han; ranges, as looking up the script of every character is slow
 UNSPACED = r"([\u0E01-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3021-\u3029\u3038-\u303B\u3041-\u30FA\u30FC-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}])"
@@ -119,21 +120,32 @@ def may_be_similar(size: str, mark: str, other_size: str, other_mark: str, simil
     return F.least(F.col(size) - F.col(mark), F.col(other_size) - F.col(other_mark)) + 1 >= longer - edits(longer, similarity)
 
 
+def may_have_words(similarity: float) -> Column:
+    """Can two lines be similar that differ in so many of their ``bits``? An edit changes two words at most, a surplus word is one edit."""
+    size, other = F.col("size"), F.col("other_size")
+    differ = sum((F.bit_count(F.col(f"bits{i}").bitwiseXOR(F.col(f"other_bits{i}"))) for i in range(BITS)), F.lit(0))
+    return differ <= 2 * edits(F.greatest(size, other), similarity) - F.abs(size - other)
+
+
 def prefix_bands(members: DataFrame, codes: DataFrame, similarity: float) -> DataFrame:
     """``members`` of bands anew, one band for each of a line's rarest words, whose place in the line's order is ``mark``.
 
     A line's words are ordered by how many of these lines have them, the n-th occurrence of a word being a word of
     its own. Similar lines share all words but the edits, so one of the first edits + 1 words of each is the same
-    and no link is lost; lines that share voters, but no rare word, are not compared.
+    and no link is lost; lines that share voters, but no rare word, are not compared. Every word flips one of the
+    64 * BITS bits of its line (``bits0`` and so on), so lines differ in no more bits than words.
     """
     words = codes.join(members.select("id").distinct(), F.col("h") == F.col("id"), "left_semi").select("h", F.explode(F.split("code", "")).alias("word"))
     times = words.groupBy("h", "word").agg(F.count("*").cast("int").alias("times"))
     words = cut_lineage(times.select(F.col("h").alias("id"), F.explode(F.transform(F.sequence(F.lit(1), F.col("times")), lambda i: F.xxhash64("word", i))).alias("word")))
     common = words.groupBy("word").agg(F.count("*").alias("df"))
-    ordered = words.join(common, "word").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("words"))
+    bit = F.expr("shiftleft(1L, cast(word & 63 as int))")
+    bits = [F.coalesce(F.bit_xor(F.when(F.pmod(F.shiftright("word", 6), F.lit(BITS)) == i, bit)), F.lit(0).cast("long")).alias(f"bits{i}") for i in range(BITS)]
+    ordered = words.join(common, "word").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("words"), *bits)
     first = F.slice("words", 1, edits(F.size("words"), similarity) + 1)
-    rare = cut_lineage(ordered.select("id", F.posexplode(first).alias("place", "w")).where("w.df > 1").select("id", "w.word", (F.col("place") + 1).alias("mark")))
-    return members.select("id", "size").distinct().join(rare, "id").select(F.col("word").alias("band"), "id", "size", "mark")
+    names = [f"bits{i}" for i in range(BITS)]
+    rare = ordered.select("id", F.size("words").alias("size"), *names, F.posexplode(first).alias("place", "w")).where("w.df > 1")
+    return cut_lineage(rare.select(F.col("w.word").alias("band"), "id", "size", (F.col("place") + 1).alias("mark"), *names))
 
 
 def line_groups(docs: DataFrame, min_words: int = 1, similarity: float = SIMILARITY) -> DataFrame:
@@ -163,7 +175,7 @@ def line_groups(docs: DataFrame, min_words: int = 1, similarity: float = SIMILAR
         y = codes.select(F.col("h").alias("b"), F.col("code").alias("y"))
         return similar(pairs.join(x, "a").join(y, "b"), similarity)
 
-    components = link(members, confirm, near, lambda open_members: prefix_bands(open_members, codes, similarity))
+    components = link(members, confirm, near, lambda open_members: prefix_bands(open_members, codes, similarity), near & may_have_words(similarity))
     grouped = classes.join(components.withColumnRenamed("id", "h"), "h", "left")
     grouped = cut_lineage(grouped.select("h", F.coalesce("component_id", "h").alias("group"), "n", "first"))
     kept = grouped.groupBy("group").agg(F.sum("n").alias("of"), F.min("first").alias("first"))
