@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from sirenlake.llm import bm25_search, embedding_dedup, importance, line_dedup, minhash_dedup, pii, sentencepiece_scan, toxicity
+from sirenlake.llm import bm25_search, embedding_dedup, importance, line_dedup, linking, minhash_dedup, pii, sentencepiece_scan, toxicity
 from sirenlake.llm.common import connected_components
 from sirenlake.llm.queries import MODEL_FILE
 
@@ -478,3 +479,95 @@ def test_rare_word_bands_lose_no_similar_pair(spark):
     x, y = (codes.select(F.col("h").alias(h), F.col("code").alias(c)) for h, c in (("a", "x"), ("b", "y")))
     wanted = {(r["a"], r["b"]) for r in line_dedup.similar(x.join(y, F.col("a") < F.col("b")), 0.9).collect()}
     assert len(wanted) >= 10 and wanted <= met
+
+
+def test_loose_copies_are_compared_by_their_words_first(spark, monkeypatch):
+    """Copies of one line with words changed at random: most pairs share rare words, but differ in too many others."""
+    rng = random.Random(21)
+    base = [f"b{i:02d}{'xyz'[i % 3] * (i % 9)}" for i in range(60)]
+    lines = []
+    for _ in range(400):
+        line = list(base)
+        for at in rng.sample(range(60), rng.randint(4, 6)):
+            line[at] = f"n{rng.randrange(10**9)}"
+        lines.append(line)
+    compared = []
+
+    def counted(pairs, similarity, plain=line_dedup.similar):
+        compared.append(pairs.count())
+        return plain(pairs, similarity)
+
+    monkeypatch.setattr(line_dedup, "similar", counted)
+    codes = {w: i for i, w in enumerate(sorted({w for line in lines for w in line}))}
+    table = spark.createDataFrame([(i, "".join(chr(0x10000 + codes[w]) for w in line)) for i, line in enumerate(lines)], "h long, code string")
+    members = spark.createDataFrame([(7, i, 60, 1, 400) for i in range(400)], "band long, id long, size int, mark int, n long")
+    near = line_dedup.may_be_similar("size", "mark", "other_size", "other_mark", 0.9)
+
+    def confirm(pairs):
+        x, y = (table.select(F.col("h").alias(h), F.col("code").alias(c)) for h, c in (("a", "x"), ("b", "y")))
+        return line_dedup.similar(pairs.join(x, "a").join(y, "b"), 0.9)
+
+    found = linking.link(members, confirm, near, lambda rows: line_dedup.prefix_bands(rows, table, 0.9), near & line_dedup.may_have_words(0.9))
+    whole = Groups()
+    for i, x in enumerate(lines):
+        for j in range(i):
+            if len(set(x) & set(lines[j])) >= 52 and line_similar(x, lines[j]):
+                whole.join(i, j)
+    got = {r["id"]: r["component_id"] for r in found.collect()}
+    tops = {}
+    for i in range(400):
+        tops.setdefault(whole.top(i), []).append(i)
+    assert all(len({got.get(i, i) for i in group}) == 1 for group in tops.values())
+    assert len({got.get(i, i) for i in range(400)}) == len(tops)
+    assert sum(compared) < 10 * len(lines), compared
+
+
+def test_bits_of_words_lose_no_similar_pair(spark):
+    rng = random.Random(9)
+    lines = [[rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(10, 30))] for _ in range(40)]
+    for line in lines[:25]:
+        lines.append([rng.choice("abcdefgh") if rng.random() < 0.07 else w for w in line if rng.random() < 0.97])
+    codes = spark.createDataFrame([(i, "".join(line)) for i, line in enumerate(lines)], "h long, code string")
+    members = spark.createDataFrame([(7, i, len(line), 1) for i, line in enumerate(lines)], "band long, id long, size int, mark int")
+    names = ["size", *[f"bits{i}" for i in range(line_dedup.BITS)]]
+    bands = line_dedup.prefix_bands(members, codes, 0.9).select("id", *names).distinct()
+    pairs = bands.withColumnRenamed("id", "a").join(bands.select(F.col("id").alias("b"), *[F.col(c).alias(f"other_{c}") for c in names]), F.col("a") < F.col("b"))
+    kept = {(r["a"], r["b"]) for r in pairs.where(line_dedup.may_have_words(0.9)).collect()}
+    x, y = (codes.select(F.col("h").alias(h), F.col("code").alias(c)) for h, c in (("a", "x"), ("b", "y")))
+    wanted = {(r["a"], r["b"]) for r in line_dedup.similar(x.join(y, F.col("a") < F.col("b")), 0.9).collect()}
+    assert len(wanted) >= 10 and wanted <= kept
+    assert len(kept) < pairs.count() / 4
+
+
+def test_postings_of_a_shard_stay_small(monkeypatch):
+    """The peak while an index is built, over its postings: sixteen bytes a posting were held twice before."""
+    monkeypatch.setattr(bm25_search, "CHUNK", 1 << 15)
+    rng = np.random.default_rng(4)
+    parts = [(np.repeat(np.arange(i, i + 20), 500), np.concatenate([np.sort(rng.choice(20_000, 500, False)) for _ in range(20)]).astype(np.int64)) for i in range(0, 2000, 20)]
+    tracemalloc.start()
+    postings = bm25_search.Postings()
+    for doc, term in parts:
+        postings.add(doc, term, np.full(len(doc), 2))
+    index = bm25_search.ShardIndex(np.arange(2000), postings, np.full(2000, 1000), 1000.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * len(index.doc), peak / len(index.doc)
+    assert len(index.doc) == 1_000_000 and int(index.start[-1]) == len(index.doc) and (np.diff(index.first) > 0).all()
+    want = {}
+    for doc, term in parts:
+        for d, t in zip(doc.tolist(), term.tolist()):
+            want.setdefault(t, []).append(d)
+    for row in range(0, len(index.terms), 997):
+        cells = slice(index.first[row], index.first[row + 1])
+        assert index.doc[index.start[cells.start] : index.start[cells.stop]].tolist() == want[int(index.terms[row])]
+
+
+def test_parts_of_long_queries_count_once(spark, monkeypatch):
+    """Queries come in several rows; results do not depend on how they are cut, nor on chunks of postings."""
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(i, " ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(rng.randint(0, 60)))) for i in range(300)], "doc_id long, text string").cache()
+    found = lambda: sorted(map(tuple, bm25_search.top_documents(docs, docs.where("doc_id % 3 = 0"), 5, 64).collect()))
+    want = found()
+    monkeypatch.setattr(bm25_search, "PART", 1)
+    monkeypatch.setattr(bm25_search, "CHUNK", 50)
+    assert found() == want and len(want) > 400
