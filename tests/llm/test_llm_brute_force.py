@@ -571,3 +571,39 @@ def test_parts_of_long_queries_count_once(spark, monkeypatch):
     monkeypatch.setattr(bm25_search, "PART", 1)
     monkeypatch.setattr(bm25_search, "CHUNK", 50)
     assert found() == want and len(want) > 400
+
+
+def test_blocks_are_scored_for_many_queries_at_once(monkeypatch):
+    """One pass over a block's matrix serves all queries that want it; its rounding does not reach the results, ties go to smaller ids."""
+    monkeypatch.setattr(bm25_search, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    terms = [np.unique(rng.zipf(1.3, rng.integers(1, 80)) % 5000) for _ in range(400)]
+    terms += [terms[i % 3] for i in range(200)]  # groups of copies
+    tf = [rng.integers(1, 300, len(t)) for t in terms]
+    tf[400:] = [tf[i % 3] for i in range(200)]
+    length, ids = np.array([t.sum() for t in tf]), rng.permutation(600)
+    queries = [(t, np.log(2 + 1 / t)) for t in terms[::5]] + [(np.array([6000]), np.ones(1)), (np.zeros(0, np.int64), np.zeros(0))]
+    for dense, rare in ((512, 32), (3, 32), (512, 1 << 40), (0, 32)):  # some, few, all and no terms in the matrix
+        monkeypatch.setattr(bm25_search, "DENSE", dense)
+        monkeypatch.setattr(bm25_search, "RARE", rare)
+        postings = bm25_search.Postings()
+        for doc, (t, n) in enumerate(zip(terms, tf)):
+            postings.add(np.full(len(t), doc), t, n)
+        index = bm25_search.ShardIndex(ids, postings, length, length.mean())
+        for k in (1, 10, 1000):
+            for (words, weight), (found, score) in zip(queries, index.search(queries, k)):
+                want = []
+                for i, t, n in zip(ids.tolist(), terms, tf):
+                    norm = bm25_search.K1 * (1 - bm25_search.B + bm25_search.B * n.sum() / length.mean())
+                    parts = [w * (c * ((bm25_search.K1 + 1) / (c + norm))) for x, w in zip(words, weight) for c in n[t == x].tolist()]
+                    want += [(-sum(parts), i)] if parts else []
+                want = sorted(want)[:k]
+                assert found.tolist() == [i for _, i in want] and (-score).tolist() == [s for s, _ in want]
+
+
+def test_every_shard_has_a_task_of_its_own(spark):
+    """Numbers hashed to tasks met: of 16 shards 12 tasks had rows, and one had three shards."""
+    docs = spark.createDataFrame([(i, f"word{i % 7} common") for i in range(160)], "doc_id long, text string")
+    found = bm25_search.top_documents(docs, docs.where("doc_id % 80 = 0"), 3, shard_docs=10)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(shard" not in plan and found.count() == 6
