@@ -34,12 +34,14 @@ BITS = 8  # numbers of 64 bits that stand for a line's words
 SURVIVAL = 0.99  # share of pairs at the similarity of which a block survives
 # Thai, Lao, Myanmar, Khmer, kana and Han; ranges, as looking up the script of every character is slow
 UNSPACED = r"([\u0E01-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3021-\u3029\u3038-\u303B\u3041-\u30FA\u30FC-\u30FF\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}])"
+WIDE = r"[\u0E01-\x{10FFFF}]"  # a character from the first of them on; one range is found much faster than all of them
 
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
     """``doc_id``, ``copy`` (hash of the text), ``line_no``, ``h``, ``words`` of the lines that take part."""
     line = F.col("line")
-    spaced = F.when(F.octet_length(line) > F.length(line), F.regexp_replace(line, UNSPACED, " $1 ")).otherwise(line)
+    wide = (F.octet_length(line) > F.length(line)) & F.rlike(line, F.lit(WIDE))
+    spaced = F.when(wide, F.regexp_replace(line, UNSPACED, " $1 ")).otherwise(line)
     words = F.array_remove(F.split(spaced, r"[^\p{L}\p{M}\p{N}]+"), "")
     rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("copy"), F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("line_no", "line"))
     # exploded from one element, as a filter would move below a plain projection and split every line twice

@@ -607,3 +607,18 @@ def test_every_shard_has_a_task_of_its_own(spark):
     found = bm25_search.top_documents(docs, docs.where("doc_id % 80 = 0"), 3, shard_docs=10)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(shard" not in plan and found.count() == 6
+
+
+def test_only_lines_with_wide_characters_are_spaced(spark):
+    """Accents do not start the search for scripts without blanks; letters of these are words wherever they lie."""
+    ends = [int(x, 16) for x in re.findall(r"\\[ux]\{?([0-9A-F]+)\}?", line_dedup.UNSPACED)]
+    points = sorted({c + d for c in ends for d in (-1, 0, 1)} | {0xE9, 0x3B1, 0x2014, 0x1F600, 0xE00, 0xE01})
+    texts = [f"é{chr(c)}b {chr(c)}{chr(c)}" for c in points] + ["é ä", "ab"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lines = line_dedup.lines_of(docs, 1)
+    assert "RLIKE" in lines._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["doc_id"]: r["words"] for r in lines.collect()}
+    always = F.regexp_replace(F.lower("text"), line_dedup.UNSPACED, " $1 ")
+    want = docs.select("doc_id", F.array_remove(F.split(always, r"[^\p{L}\p{M}\p{N}]+"), "").alias("words"))
+    assert got == {r["doc_id"]: r["words"] for r in want.collect() if r["words"]}
+    assert got[points.index(0x4E00)] == ["é", "一", "b", "一", "一"] and got[len(points)] == ["é", "ä"]
