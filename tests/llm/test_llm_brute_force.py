@@ -609,6 +609,26 @@ def test_every_shard_has_a_task_of_its_own(spark):
     assert "hashpartitioning(shard" not in plan and found.count() == 6
 
 
+def test_queries_are_not_copied_to_every_shard(spark, monkeypatch):
+    """Tasks read the index of all shards for a group of queries; results do not depend on shards, groups or the size of an index."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(rng.randint(0, 40)))) for i in range(400)]
+    docs = spark.createDataFrame(rows + [(400 + i, rows[i % 5][1]) for i in range(60)], "doc_id long, text string").cache()
+    found = lambda n: bm25_search.top_documents(docs, docs.where("doc_id % 3 = 0"), 5, n)
+    whole = found(1000)
+    want = sorted(map(tuple, whole.collect()))
+    assert len(want) > 700 and sorted({r[1] for r in want}) == [1, 2, 3, 4, 5]
+    copied = []
+    explode = F.explode
+    monkeypatch.setattr(bm25_search.F, "explode", lambda c: copied.append(str(c)) or explode(c))
+    assert sorted(map(tuple, found(20).collect())) == want and not any("sequence(0" in c for c in copied), copied
+    monkeypatch.setattr(bm25_search, "GROUP_TERMS", (100, 200))
+    monkeypatch.setattr(bm25_search, "MOST_DOCS", 7)
+    monkeypatch.setattr(bm25_search, "MOST_POSTINGS", 90)
+    monkeypatch.setattr(bm25_search, "TOGETHER_TERMS", 50)
+    assert sorted(map(tuple, found(20).collect())) == want
+
+
 def test_only_lines_with_wide_characters_are_spaced(spark):
     """Accents do not start the search for scripts without blanks; letters of these are words wherever they lie."""
     ends = [int(x, 16) for x in re.findall(r"\\[ux]\{?([0-9A-F]+)\}?", line_dedup.UNSPACED)]
